@@ -15,7 +15,7 @@ from airseries.operators.clean import drop_missing
 from airseries.operators.encode import assemble, label_indexer, label_names
 from airseries.operators.one_vs_rest import linear_importance, predict_class
 from airseries.operators.runs import load_model, save_model
-from airseries.operators.sampling import hash_split, temporal_split
+from airseries.operators.sampling import hash_split, temporal_split, time_cut
 from airseries.plans.readings import FEATURES, build_features, prepare
 from airseries.plans.training import one_vs_rest, train_and_score
 from airseries.session import stage, stage_path
@@ -33,9 +33,9 @@ MODEL_FEATURES = [
 def _model_table(spark: SparkSession, sf: str) -> DataFrame:
     """Leak-free features, with vectors, split by time."""
     features = build_features(prepare(raw_readings(spark, sf)), causal=True)
-    marked = temporal_split(assemble(features, MODEL_FEATURES), "timestamp")
-    columns = ["timestamp", "pm2_5", "aqi", "aqi_category", "features", "split"]
-    return stage(marked.select(*columns), "model-input")
+    columns = ["timestamp", "pm2_5", "aqi", "aqi_category", "features"]
+    vectors = stage(assemble(features, MODEL_FEATURES).select(*columns), "model-input")
+    return temporal_split(vectors, "timestamp", cut=time_cut(vectors, "timestamp"))
 
 
 @query(
@@ -169,6 +169,20 @@ def rf_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.confusion_long(test, "aqi_category", "predicted", indexer.labels)
 
 
+@query("rf_probabilities")
+def rf_probabilities(spark: SparkSession, sf: str) -> DataFrame:
+    data = _model_table(spark, sf)
+    train = data.filter(F.col("split") == "train")
+    indexed = label_indexer("aqi_category").fit(train).transform(data)
+    _, scored = models.fit_on_train(models.forest_classifier(**SMALL_FOREST), indexed)
+    best = F.array_max(vector_to_array("probability"))
+    return rounded(
+        scored.filter(F.col("split") == "test").select(
+            "timestamp", "aqi_category", "label", "prediction", best.alias("probability")
+        )
+    )
+
+
 @query("train_and_score")
 def train_and_score_all(spark: SparkSession, sf: str) -> DataFrame:
     features = build_features(prepare(raw_readings(spark, sf)), causal=True)

@@ -10,10 +10,10 @@ from airseries.checks.registry import query, rounded
 from airseries.functions.bands import band
 from airseries.operators import metrics
 from airseries.operators.runs import best_run, compare_runs, log_run, read_runs
-from airseries.operators.sampling import temporal_split
+from airseries.operators.sampling import hash_split, temporal_split
 from airseries.operators.temporal import lag, rolling_mean, with_row_frames
 from airseries.plans.readings import CATEGORIES
-from airseries.session import stage_path
+from airseries.session import stage, stage_path
 
 ORDER = ["ts", "event_id"]
 
@@ -75,7 +75,21 @@ def baseline_forecast(spark: SparkSession, sf: str) -> DataFrame:
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     test = _forecasts(spark, sf).filter(F.col("split") == "test")
     names = {"mean of 24 rows": "mean_24", "last row": "lag_1", "row before 24": "lag_24"}
-    tables = {n: metrics.regression_metrics(test, "pm", c) for n, c in names.items()}
+    return rounded(metrics.compare_predictions(test, "pm", names))
+
+
+@query(
+    "split_comparison",
+    f"""WITH {_FORECAST}
+    SELECT 'train' AS model, {_metrics_sql('lag_1')} FROM s WHERE split = 'train'
+    UNION ALL SELECT 'test', {_metrics_sql('lag_1')} FROM s WHERE split = 'test'""",
+)
+def split_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    scored = stage(_forecasts(spark, sf).select("pm", "lag_1", "split"), "forecasts")
+    tables = {
+        part: metrics.regression_metrics(scored.filter(F.col("split") == part), "pm", "lag_1")
+        for part in ("train", "test")
+    }
     return rounded(metrics.compare_models(tables, "rmse"))
 
 
@@ -87,7 +101,8 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     SELECT name, rmse, mae, r2, CAST(rmse = min(rmse) OVER () AS BIGINT) AS is_best FROM l""",
 )
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
-    test = _forecasts(spark, sf).filter(F.col("split") == "test")
+    forecasts = _forecasts(spark, sf).filter(F.col("split") == "test")
+    test = stage(forecasts.select("pm", "mean_24", "lag_1"), "forecasts")
     path = stage_path(spark, "runs")
     for name, column, hours in (("mean of 24 rows", "mean_24", 24), ("last row", "lag_1", 1)):
         log_run(
@@ -174,6 +189,23 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics.classification_metrics(_rule_classes(spark, sf), "label", "prediction"))
 
 
+_SPLIT_RULE = f"""{_RULE},
+h AS (SELECT label, prediction, CASE WHEN (((event_id % 2147483647) * 2654435761) % 4294967296)
+             / 4294967296.0e0 < 0.8 THEN 'train' ELSE 'test' END AS split FROM b)"""
+
+
+@query(
+    "classification_by_split",
+    f"""WITH {_SPLIT_RULE}
+    SELECT split, count(*) AS n, round(avg(CAST(label = prediction AS INT)) + 1e-9, 6) AS accuracy
+    FROM h GROUP BY split""",
+)
+def classification_by_split(spark: SparkSession, sf: str) -> DataFrame:
+    marked = hash_split(_rule_classes(spark, sf), "event_id")
+    measured = metrics.classification_metrics(marked, "label", "prediction", by=["split"])
+    return rounded(measured.select("split", "n", "accuracy"))
+
+
 @query(
     "class_distribution",
     f"""WITH {_RULE} SELECT label, prediction, count(*) AS n FROM b GROUP BY label, prediction""",

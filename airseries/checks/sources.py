@@ -73,7 +73,7 @@ def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "table_report",
-    "SELECT 'customer_copy' AS table_name, count(*) AS n_rows, 5 AS n_columns FROM customer",
+    "SELECT 'customer_copy' AS table_name, count(*) AS n_rows, CAST(5 AS BIGINT) AS n_columns FROM customer",
 )
 def table_report(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sinks.table_report(spark, _in_database(spark, sf)[1]))

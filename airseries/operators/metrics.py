@@ -11,6 +11,22 @@ from pyspark.sql import functions as F
 from airseries.operators.columns import quoted
 
 
+def _regression(label: str, prediction: str) -> dict[str, Column]:
+    """n, rmse, mae and r2 over the rows that hold both the label and the prediction."""
+    y = F.col(quoted(label)).cast("double")
+    p = F.col(quoted(prediction)).cast("double")
+    # The error is null where either is, and the aggregates pass over nulls.
+    error = y - p
+    squared = F.avg(F.pow(error, F.lit(2)))
+    spread = F.var_pop(F.when(p.isNotNull(), y))
+    return {
+        "n": F.count(error),
+        "rmse": F.sqrt(squared),
+        "mae": F.avg(F.abs(error)),
+        "r2": F.lit(1.0) - F.try_divide(squared, spread),
+    }
+
+
 def regression_metrics(
     df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -18,22 +34,44 @@ def regression_metrics(
 
     Rows without label or prediction are left out. r2 is null for a constant label.
     """
-    y = F.col(quoted(label)).cast("double")
-    p = F.col(quoted(prediction)).cast("double")
-    error = y - p
-    used = df.filter(y.isNotNull() & p.isNotNull())
-    return used.groupBy(*[F.col(quoted(c)) for c in by]).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sqrt(F.avg(F.pow(error, F.lit(2)))).alias("rmse"),
-        F.avg(F.abs(error)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.avg(F.pow(error, F.lit(2))), F.var_pop(y))).alias("r2"),
+    parts = [c.alias(name) for name, c in _regression(label, prediction).items()]
+    return df.groupBy(*[F.col(quoted(c)) for c in by]).agg(*parts)
+
+
+def compare_predictions(
+    df: DataFrame,
+    label: str,
+    predictions: Mapping[str, str],
+    by: Sequence[str] = (),
+    order_by: str = "rmse",
+    ascending: bool = True,
+) -> DataFrame:
+    """One row per model (and group): metrics of several prediction columns in one pass, best first."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("model"),
+            *[c.alias(m) for m, c in _regression(label, column).items()],
+        )
+        for name, column in predictions.items()
+    ]
+    groups = [F.col(quoted(c)) for c in by]
+    key = F.asc(order_by) if ascending else F.desc(order_by)
+    return (
+        df.groupBy(*groups)
+        .agg(F.array(*rows).alias("_rows"))
+        .select(*groups, F.inline("_rows"))
+        .orderBy(*groups, key, "model")
     )
 
 
-def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def confusion_counts(
+    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
+) -> DataFrame:
     """Rows per pair of label and prediction, as ``actual``, ``predicted``, ``n``."""
     return df.groupBy(
-        F.col(quoted(label)).alias("actual"), F.col(quoted(prediction)).alias("predicted")
+        *[F.col(quoted(c)) for c in by],
+        F.col(quoted(label)).alias("actual"),
+        F.col(quoted(prediction)).alias("predicted"),
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -81,9 +119,12 @@ def confusion_matrix(
     )
 
 
-def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def class_metrics(
+    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
+) -> DataFrame:
     """Per class: actual, predicted and correct rows, precision, recall and F1."""
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
+    groups = [F.col(quoted(c)) for c in by]
 
     def side(name: str, actual: Column, predicted: Column, correct: Column) -> Column:
         return F.struct(
@@ -98,9 +139,9 @@ def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
         side("predicted", F.lit(0), F.col("n"), F.lit(0)),
     )
     sums = (
-        confusion_counts(df, label, prediction)
-        .select(F.inline(sides))
-        .groupBy("class")
+        confusion_counts(df, label, prediction, by)
+        .select(*groups, F.inline(sides))
+        .groupBy(*groups, "class")
         .agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "correct")])
     )
     zero = F.lit(0.0)
@@ -113,14 +154,16 @@ def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return sums.withColumns({"precision": precision, "recall": recall}).withColumn("f1", f1)
 
 
-def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: n, accuracy, and F1, precision and recall weighted by class size."""
+def classification_metrics(
+    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """n, accuracy, and F1, precision and recall weighted by class size; in all or per group."""
     total = F.sum("actual")
 
     def weighted(name: str) -> Column:
         return F.try_divide(F.sum(F.col("actual") * F.col(name)), total)
 
-    return class_metrics(df, label, prediction).agg(
+    return class_metrics(df, label, prediction, by).groupBy(*[F.col(quoted(c)) for c in by]).agg(
         total.alias("n"),
         F.try_divide(F.sum("correct"), total).alias("accuracy"),
         weighted("f1").alias("f1"),
@@ -130,7 +173,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
 
 
 def compare_models(results: Mapping[str, DataFrame], order_by: str, ascending: bool = True) -> DataFrame:
-    """One row per model from one-row metric tables, best first."""
+    """One row per model from metric tables of separate sources, best first."""
     rows = None
     for name, result in results.items():
         named = result.select(F.lit(name).alias("model"), "*")

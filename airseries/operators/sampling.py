@@ -47,10 +47,28 @@ def random_split(
     return df.randomSplit(list(weights), seed=seed)
 
 
-def temporal_split(df: DataFrame, ts: str, q: float = 0.8, out: str = "split") -> DataFrame:
-    """Adds ``train`` before the q-quantile of the time and ``test`` from it on."""
-    cut = df.agg(quantile_sketch(ts, q).alias("cut")).scalar()
-    return df.withColumn(out, F.when(F.col(quoted(ts)) < cut, "train").otherwise("test"))
+def time_cut(df: DataFrame, ts: str, q: float = 0.8) -> str | None:
+    """The q-quantile of the time, from one pass over the time column.
+
+    Returned as text, so that no time zone but the session's has a say in it.
+    """
+    return df.agg(quantile_sketch(ts, q).cast("string")).first()[0]
+
+
+def temporal_split(
+    df: DataFrame, ts: str, q: float = 0.8, out: str = "split", cut: str | None = None
+) -> DataFrame:
+    """Adds ``train`` before the q-quantile of the time and ``test`` from it on.
+
+    Without ``cut`` the quantile is a scalar subquery over ``df``, so the call
+    stays lazy but ``df`` is read twice. With ``cut`` (from ``time_cut``) the
+    condition is a plain comparison that reaches the file scan.
+    """
+    if cut is None:
+        limit = df.agg(quantile_sketch(ts, q).alias("cut")).scalar()
+    else:
+        limit = F.lit(cut).cast(df.schema[ts].dataType)
+    return df.withColumn(out, F.when(F.col(quoted(ts)) < limit, "train").otherwise("test"))
 
 
 def positional_split(

@@ -26,6 +26,26 @@ def local_session(cores: str = "8", app: str = "airseries", **extra: str) -> Spa
     return spark
 
 
+def scale_settings(
+    input_bytes: int, task_bytes: int = 128 << 20, expansion: float = 3.0
+) -> dict[str, str]:
+    """Settings for a given input size, so that a shuffle task holds about ``task_bytes``.
+
+    ``expansion`` is the size of the shuffled rows relative to the files read.
+    Sorted tiles (see ``ordering``) are cut by the number of shuffle partitions,
+    so this is what bounds them. AQE joins partitions that turn out small.
+    """
+    partitions = max(200, int(input_bytes * expansion / task_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(2 * task_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def stage_root(spark: SparkSession) -> str:
     """The folder staged tables go to.
 
@@ -42,9 +62,20 @@ def stage_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _stage_home(spark: SparkSession) -> str:
+    return f"{stage_root(spark)}/airseries/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the stage folder, never used before."""
-    return f"{stage_root(spark)}/airseries/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's stage folder, never used before."""
+    return f"{_stage_home(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> bool:
+    """Delete what this application staged; DataFrames built on it can not be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_home(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

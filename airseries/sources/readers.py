@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,7 +68,7 @@ def read_measurements_json(
     path: str | list[str],
     country: str | None = None,
     parameters: Sequence[str] | None = None,
-    date_from: Any | None = None,
+    date_from: datetime | str | None = None,
     schema: T.StructType = MEASUREMENT_SCHEMA,
 ) -> DataFrame:
     """Landed JSON-lines measurements, filtered as the service's query would."""
@@ -77,7 +78,7 @@ def read_measurements_json(
     if parameters is not None:
         df = df.filter(F.col("parameter").isin(*parameters))
     if date_from is not None:
-        df = df.filter(F.col("date.utc") >= F.lit(date_from))
+        df = df.filter(F.col("date.utc") >= F.lit(str(date_from)).cast("timestamp_ntz"))
     return df
 
 

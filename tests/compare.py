@@ -44,6 +44,21 @@ def spark_rows(df) -> tuple[list[str], list[tuple]]:
     return [df.columns[i] for i in order], rows
 
 
+# Types the two engines call differently.
+SAME_TYPES = {
+    "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "int": "INTEGER",
+}
+
+
+def type_difference(df, con, sql: str) -> str | None:
+    """None if the columns have the same types, else what differs."""
+    want = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    have = {f.name: SAME_TYPES.get(f.dataType.simpleString(), "?") for f in df.schema}
+    bad = {c: (have.get(c), want.get(c)) for c in {*have, *want} if have.get(c) != want.get(c)}
+    return f"types {bad}" if bad else None
+
+
 def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
@@ -76,11 +91,14 @@ def main() -> None:
             continue
         started = time.time()
         try:
-            got = spark_rows(fn(spark, sf))
+            df = fn(spark, sf)
+            got = spark_rows(df)
             took = time.time() - started
             state = f"{len(got[1])} rows only"
             if name in sql:
-                diff = difference(got, duck_rows(con, sql[name]))
+                diff = difference(got, duck_rows(con, sql[name])) or type_difference(
+                    df, con, sql[name]
+                )
                 state = "ok" if diff is None else f"DIFFERS {diff}"
                 bad += diff is not None
                 state += f" ({len(got[1])} rows)"
