@@ -102,7 +102,8 @@ def argmax_class(spark: SparkSession, sf: str) -> DataFrame:
         round(1 - avg(pow(pm - intercept - slope * temp, 2)) / var_pop(pm) + 1e-9, 6) AS r2 FROM f, c""",
 )
 def linear_regression(spark: SparkSession, sf: str) -> DataFrame:
-    df = assemble(filled(spark, sf), ["temp"]).select("pm", "features")
+    # Fitting reads its input more than once.
+    df = stage(assemble(filled(spark, sf), ["temp"]).select("pm", "features"), "line")
     model = models.linear_regressor("pm").fit(df)
     measured = metrics.regression_metrics(model.transform(df), "pm", "prediction")
     return rounded(
@@ -120,7 +121,7 @@ def linear_regression(spark: SparkSession, sf: str) -> DataFrame:
     SELECT event_id, round(intercept + slope * temp + 1e-9, 6) AS prediction FROM f, c""",
 )
 def linear_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    df = assemble(filled(spark, sf), ["temp"]).select("event_id", "pm", "features")
+    df = stage(assemble(filled(spark, sf), ["temp"]).select("event_id", "pm", "features"), "line")
     path = stage_path(spark, "model")
     save_model(models.linear_regressor("pm").fit(df), path)
     model = load_model(LinearRegressionModel, path)

@@ -25,6 +25,8 @@ from airseries.operators import clean, sampling
 from airseries.operators.encode import one_hot
 from airseries.operators.ordering import with_row_index
 from airseries.operators.temporal import (
+    SMALL_RANGE_ROWS,
+    SMALL_SERIES_ROWS,
     difference,
     lag,
     range_mean,
@@ -115,7 +117,7 @@ def _station_frames(spark: SparkSession, sf: str, small_series: int) -> DataFram
 
 @query("rolling_by_station", _BY_STATION)
 def rolling_by_station(spark: SparkSession, sf: str) -> DataFrame:
-    return _station_frames(spark, sf, small_series=1_000_000)
+    return _station_frames(spark, sf, small_series=SMALL_SERIES_ROWS)
 
 
 @query("rolling_by_station_blocks", _BY_STATION)
@@ -146,7 +148,7 @@ def _station_range(spark: SparkSession, sf: str, small_series: int) -> DataFrame
 
 @query("time_range_by_station", _RANGE_BY_STATION)
 def time_range_by_station(spark: SparkSession, sf: str) -> DataFrame:
-    return _station_range(spark, sf, small_series=1_000_000)
+    return _station_range(spark, sf, small_series=SMALL_RANGE_ROWS)
 
 
 @query("time_range_by_station_sums", _RANGE_BY_STATION)

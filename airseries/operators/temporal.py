@@ -25,6 +25,10 @@ ROWS_PER_BLOCK = 4096
 # A series up to this many rows is sorted by one task without harm.
 SMALL_SERIES_ROWS = 1_000_000
 
+# The RANGE window adds up each row's frame afresh, so its work can grow with the
+# square of the series.
+SMALL_RANGE_ROWS = 10_000
+
 _BLOCK = "_block"
 
 
@@ -112,7 +116,7 @@ def range_mean(
     row_id: str,
     by: Sequence[str] = (),
     out: str = "range_mean",
-    small_series: int = SMALL_SERIES_ROWS,
+    small_series: int = SMALL_RANGE_ROWS,
 ) -> DataFrame:
     """Mean over the rows at most ``hours`` before each row's time, both ends included.
 
@@ -156,9 +160,11 @@ def range_mean(
         df.select(*cols, F.inline(records)), [*by, "_at", "_kind", row_id]
     )
     # Differences are taken within one series only, so the running sums may go
-    # on across series. Both are bounded by the tile for the window.
-    totals = running_start(tiles.groupBy(TILE).agg(F.sum("_w").alias("w"), F.sum("_c").alias("c")), "w", "c")
-    starts = F.broadcast(totals.select(TILE, "w_start", "c_start"))  # one row per sort partition
+    # on from one series to the next; each window below holds one tile.
+    sums = tiles.groupBy(TILE).agg(F.sum("_w").alias("w"), F.sum("_c").alias("c"))
+    totals = running_start(sums, "w", "c")
+    # One row per sort partition.
+    starts = F.broadcast(totals.select(TILE, "w_start", "c_start"))
     inside = Window.partitionBy(TILE).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     summed = tiles.withColumns(
         {"_ws": F.sum("_w").over(inside), "_cs": F.sum("_c").over(inside)}
