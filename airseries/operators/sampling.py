@@ -55,14 +55,20 @@ def time_cut(df: DataFrame, ts: str, q: float = 0.8) -> str | None:
     return df.agg(quantile_sketch(ts, q).cast("string")).first()[0]
 
 
+def cut_frames(df: DataFrame, ts: str, cut: str) -> tuple[DataFrame, DataFrame]:
+    """Rows before the cut and rows from it on, by comparisons that reach the file scan."""
+    limit = F.lit(cut).cast(df.schema[ts].dataType)
+    return df.filter(F.col(quoted(ts)) < limit), df.filter(F.col(quoted(ts)) >= limit)
+
+
 def temporal_split(
     df: DataFrame, ts: str, q: float = 0.8, out: str = "split", cut: str | None = None
 ) -> DataFrame:
     """Adds ``train`` before the q-quantile of the time and ``test`` from it on.
 
     Without ``cut`` the quantile is a scalar subquery over ``df``, so the call
-    stays lazy but ``df`` is read twice. With ``cut`` (from ``time_cut``) the
-    condition is a plain comparison that reaches the file scan.
+    stays lazy but ``df`` is read twice. With ``cut`` (from ``time_cut``) it is
+    a constant.
     """
     if cut is None:
         limit = df.agg(quantile_sketch(ts, q).alias("cut")).scalar()

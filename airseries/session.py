@@ -27,9 +27,9 @@ def local_session(cores: str = "8", app: str = "airseries", **extra: str) -> Spa
 
 
 def scale_settings(
-    input_bytes: int, task_bytes: int = 128 << 20, expansion: float = 3.0
+    input_bytes: int, task_bytes: int = 1 << 30, expansion: float = 2.0
 ) -> dict[str, str]:
-    """Settings for a given input size, so that a shuffle task holds about ``task_bytes``.
+    """Settings for a given input size, so that a shuffle task holds at most about ``task_bytes``.
 
     ``expansion`` is the size of the shuffled rows relative to the files read.
     Sorted tiles (see ``ordering``) are cut by the number of shuffle partitions,
@@ -38,10 +38,10 @@ def scale_settings(
     partitions = max(200, int(input_bytes * expansion / task_bytes) + 1)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(2 * task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
 

@@ -181,4 +181,5 @@ def test_stage_prunes_columns(spark, gaps):
 def test_scale_settings():
     small, large = scale_settings(1 << 20), scale_settings(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(large["spark.sql.shuffle.partitions"]) > 1_000_000
+    # Two bytes shuffled per byte read, one GiB per task.
+    assert int(large["spark.sql.shuffle.partitions"]) == 200 * 1024 + 1
