@@ -13,9 +13,15 @@ from airseries.functions.bands import COARSE_BANDS, COARSE_CODES, band, encode_l
 from airseries.operators import metrics, models
 from airseries.operators.clean import drop_missing
 from airseries.operators.encode import assemble, label_indexer, label_names
-from airseries.operators.one_vs_rest import linear_importance, predict_class
+from airseries.operators.one_vs_rest import (
+    add_scores,
+    fit_ovr_lasso,
+    linear_importance,
+    predict_class,
+)
 from airseries.operators.runs import load_model, save_model
 from airseries.operators.sampling import hash_split, temporal_split, time_cut
+from airseries.operators.temporal import rolling_mean, with_row_frames
 from airseries.plans.readings import FEATURES, build_features, prepare
 from airseries.plans.training import one_vs_rest, train_and_score
 from airseries.session import stage, stage_path
@@ -128,6 +134,73 @@ def linear_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return model.transform(df).select("event_id", r6("prediction"))
 
 
+# Two yes/no features split the rows into four groups. A tree of depth two that
+# sees all rows and features then gives each group its own leaf, so the models
+# below can be checked in SQL: a leaf holds the group's mean, or its most
+# frequent class.
+_GROUPS = f"""{FILLED}, m3 AS (SELECT *, avg(pm) OVER (ORDER BY ts, event_id ROWS 2 PRECEDING) AS mean_3 FROM f),
+    g AS (SELECT event_id, pm, CAST(mean_3 > 50.0005 AS INT) AS high,
+        CAST(hour(ts) BETWEEN 8 AND 18 AS INT) AS daytime,
+        CASE WHEN pm <= 35.4 THEN 'Good' WHEN pm <= 55.4 THEN 'Moderate' ELSE 'Unhealthy' END AS category,
+        CASE WHEN (((event_id % 2147483647) * 2654435761) % 4294967296) / 4294967296.0e0 < 0.8
+             THEN 'train' ELSE 'test' END AS split FROM m3)"""
+FULL_TREE = {"numTrees": 3, "maxDepth": 2, "bootstrap": False, "featureSubsetStrategy": "all"}
+
+
+def _grouped(spark: SparkSession, sf: str) -> DataFrame:
+    df = filled(spark, sf).select("event_id", "ts", "pm")
+    df = with_row_frames(df, {"mean_3": rolling_mean("pm", 3)}, ["ts", "event_id"]).select(
+        "event_id",
+        "pm",
+        (F.col("mean_3") > 50.0005).cast("int").alias("high"),
+        F.hour("ts").between(8, 18).cast("int").alias("daytime"),
+        band("pm", COARSE_BANDS).alias("category"),
+    )
+    return stage(hash_split(assemble(df, ["high", "daytime"]), "event_id"), "groups")
+
+
+_GROUP_MEANS = f"""WITH {_GROUPS},
+l AS (SELECT high, daytime, avg(pm) AS leaf FROM g WHERE split = 'train' GROUP BY high, daytime)
+SELECT event_id, split, round(leaf + 1e-9, 6) AS prediction FROM g JOIN l USING (high, daytime)"""
+
+
+@query("rf_group_means", _GROUP_MEANS)
+def rf_group_means(spark: SparkSession, sf: str) -> DataFrame:
+    data = _grouped(spark, sf)
+    _, scored = models.fit_on_train(models.forest_regressor("pm", **FULL_TREE), data)
+    return rounded(scored.select("event_id", "split", "prediction"))
+
+
+@query("gbt_group_means", _GROUP_MEANS)
+def gbt_group_means(spark: SparkSession, sf: str) -> DataFrame:
+    # After the first tree the residual of every group has the mean zero.
+    data = _grouped(spark, sf)
+    _, scored = models.fit_on_train(models.boosted_regressor("pm", maxDepth=2, maxIter=3), data)
+    return rounded(scored.select("event_id", "split", "prediction"))
+
+
+@query(
+    "rf_group_classes",
+    f"""WITH {_GROUPS},
+    i AS (SELECT category, row_number() OVER (ORDER BY count(*) DESC, category) - 1 AS label
+          FROM g WHERE split = 'train' GROUP BY category),
+    c AS (SELECT high, daytime, category, label, count(*) AS n
+          FROM g JOIN i USING (category) WHERE split = 'train' GROUP BY ALL),
+    l AS (SELECT high, daytime, category AS predicted
+          FROM c QUALIFY row_number() OVER (PARTITION BY high, daytime ORDER BY n DESC, label) = 1)
+    SELECT event_id, split, category, predicted
+    FROM g JOIN l USING (high, daytime)""",
+)
+def rf_group_classes(spark: SparkSession, sf: str) -> DataFrame:
+    data = _grouped(spark, sf)
+    indexer = label_indexer("category").fit(data.filter(F.col("split") == "train"))
+    _, scored = models.fit_on_train(
+        models.forest_classifier(**FULL_TREE), indexer.transform(data)
+    )
+    named = label_names("prediction", "predicted", [*indexer.labels, "unseen"]).transform(scored)
+    return named.select("event_id", "split", "category", "predicted")
+
+
 @query("rf_regression")
 def rf_regression(spark: SparkSession, sf: str) -> DataFrame:
     data = _model_table(spark, sf)
@@ -209,6 +282,36 @@ def _lasso_vectors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "ovr_lasso_line",
+    f"""WITH {FILLED}, w AS (SELECT event_id, pm, avg(pm) OVER (ORDER BY ts, event_id ROWS 5 PRECEDING) AS x,
+        CASE WHEN pm <= 35.4 THEN 0 WHEN pm <= 55.4 THEN 1 ELSE 2 END AS label FROM f),
+    c AS (SELECT t.c, corr(CAST(label = t.c AS INT), x) AS rho, stddev_pop(CAST(label = t.c AS INT)) AS sy,
+                 stddev_pop(x) AS sx, avg(CAST(label = t.c AS INT)) AS my, avg(x) AS mx
+          FROM w, (VALUES (0), (1), (2)) t(c) GROUP BY t.c),
+    b AS (SELECT c, sign(rho) * greatest(abs(rho) - 0.05e0 / sy, 0) * sy / sx AS slope, my, mx FROM c),
+    s AS (SELECT event_id, CAST(label AS DOUBLE) AS label,
+                 max(CASE WHEN c = 0 THEN my + slope * (x - mx) END) AS s0,
+                 max(CASE WHEN c = 1 THEN my + slope * (x - mx) END) AS s1,
+                 max(CASE WHEN c = 2 THEN my + slope * (x - mx) END) AS s2 FROM w, b GROUP BY event_id, label)
+    SELECT event_id, label, round(s0 + 1e-9, 4) AS "score_Good", round(s1 + 1e-9, 4) AS "score_Moderate",
+        round(s2 + 1e-9, 4) AS "score_Unhealthy",
+        CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0.0e0 WHEN s1 >= s2 THEN 1.0e0 ELSE 2.0e0 END AS prediction FROM s""",
+)
+def ovr_lasso_line(spark: SparkSession, sf: str) -> DataFrame:
+    # With one feature the Lasso has a closed form: the correlation is pulled
+    # towards zero by the strength over the spread of the target.
+    df = filled(spark, sf).select("event_id", "ts", "pm")
+    df = with_row_frames(df, {"x": rolling_mean("pm", 6)}, ["ts", "event_id"])
+    df = df.withColumn("label", encode_labels(band("pm", COARSE_BANDS), COARSE_CODES))
+    vectors = stage(assemble(df, ["x"]).select("event_id", "label", "features"), "line")
+    classes = list(COARSE_CODES)
+    fitted = fit_ovr_lasso(vectors, classes, 0.05)
+    scored = predict_class(add_scores(vectors, fitted), classes)
+    scores = [F.round(F.col(f"score_{c}") + 1e-9, 4).alias(f"score_{c}") for c in classes]
+    return scored.select("event_id", "label", *scores, "prediction")
+
+
 @query("ovr_lasso")
 def ovr_lasso(spark: SparkSession, sf: str) -> DataFrame:
     found = one_vs_rest(_lasso_vectors(spark, sf), list(COARSE_CODES), [1e-2, 1e-1])

@@ -23,6 +23,8 @@ def test_query(spark, duck, name):
         assert compare.type_difference(df, duck, SQL[name]) is None
     else:
         assert got[1]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_sql_only_for_registered_queries():
