@@ -37,6 +37,7 @@ from airseries.functions.calendar import (
 )
 from airseries.functions.numeric import safe_ratio
 from airseries.operators import clean, columns, profile
+from airseries.operators.quantiles import quantiles
 from airseries.plans.readings import band_summary, prepare, profile_by
 
 
@@ -155,17 +156,43 @@ def summary_typed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "approx_quantiles",
+    "exact_quantiles",
     f"""WITH {K} SELECT round(quantile_disc(pm, 0.01) + 1e-9, 6) AS p01,
         round(quantile_disc(pm, 0.25) + 1e-9, 6) AS p25, round(quantile_disc(pm, 0.5) + 1e-9, 6) AS p50,
-        round(quantile_disc(pm, 0.75) + 1e-9, 6) AS p75, round(quantile_disc(pm, 0.99) + 1e-9, 6) AS p99
-        FROM k""",
+        round(quantile_disc(pm, 0.75) + 1e-9, 6) AS p75, round(quantile_disc(pm, 0.99) + 1e-9, 6) AS p99,
+        count(*) AS n FROM k""",
+)
+def exact_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    # Few values may be sorted here, so that the rounds of counting are checked too.
+    df = readings(spark, sf)
+    shares = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+    found = quantiles(df, "pm", list(shares.values()), sorted_values=100)
+    row = clean.drop_missing(df, "pm").agg(F.count(F.lit(1)).alias("n"))
+    return row.select(*[r6(F.lit(v), name) for name, v in zip(shares, found)], "n")
+
+
+@query(
+    "approx_quantiles",
+    f"""WITH {K}, p(share) AS (VALUES (0.01e0), (0.25e0), (0.5e0), (0.75e0), (0.99e0))
+        SELECT share, count(*) > 0 AS within_error FROM k, p GROUP BY share""",
 )
 def approx_quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    q = profile.quantile_sketch("pm", [0.01, 0.25, 0.5, 0.75, 0.99])
-    row = clean.drop_missing(readings(spark, sf), "pm").agg(q.alias("q"))
-    names = ["p01", "p25", "p50", "p75", "p99"]
-    return row.select(*[r6(F.col("q")[i], n) for i, n in enumerate(names)])
+    # Any value whose rank is off by at most one percent of the rows is right.
+    df = clean.drop_missing(readings(spark, sf), "pm")
+    shares = [0.01, 0.25, 0.5, 0.75, 0.99]
+    found = profile.approx_quantiles(df, "pm", shares, 0.01)
+    n, pm = F.count(F.lit(1)), F.col("pm")
+    checks = [
+        F.struct(
+            F.lit(p).alias("share"),
+            (
+                (F.count_if(pm < v) / n <= F.lit(p + 0.01))
+                & (F.count_if(pm <= v) / n >= F.lit(p - 0.01))
+            ).alias("within_error"),
+        )
+        for p, v in zip(shares, found)
+    ]
+    return df.agg(F.array(*checks).alias("c")).select(F.inline("c"))
 
 
 _FENCES = f"""WITH {K}, q AS (SELECT quantile_disc(pm, 0.25) AS q1, quantile_disc(pm, 0.5) AS median,

@@ -32,7 +32,7 @@ def _forecasts(spark: SparkSession, sf: str) -> DataFrame:
     frames = {"mean_24": rolling_mean("pm", 24), "lag_1": lag("pm", 1), "lag_24": lag("pm", 24)}
     df = filled(spark, sf).select("event_id", "ts", "pm")
     df = with_row_frames(df, frames, ORDER).filter(F.col("lag_24").isNotNull())
-    return temporal_split(df, "ts", 0.8)
+    return temporal_split(stage(df, "forecasts"), "ts", 0.8)
 
 
 def _metrics_sql(p: str) -> str:
@@ -85,7 +85,7 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT 'test', {_metrics_sql('lag_1')} FROM s WHERE split = 'test'""",
 )
 def split_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    scored = stage(_forecasts(spark, sf).select("pm", "lag_1", "split"), "forecasts")
+    scored = _forecasts(spark, sf)
     tables = {
         part: metrics.regression_metrics(scored.filter(F.col("split") == part), "pm", "lag_1")
         for part in ("train", "test")
@@ -101,8 +101,7 @@ def split_comparison(spark: SparkSession, sf: str) -> DataFrame:
     SELECT name, rmse, mae, r2, CAST(rmse = min(rmse) OVER () AS BIGINT) AS is_best FROM l""",
 )
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
-    forecasts = _forecasts(spark, sf).filter(F.col("split") == "test")
-    test = stage(forecasts.select("pm", "mean_24", "lag_1"), "forecasts")
+    test = _forecasts(spark, sf).filter(F.col("split") == "test")
     path = stage_path(spark, "runs")
     for name, column, hours in (("mean of 24 rows", "mean_24", 24), ("last row", "lag_1", 1)):
         log_run(

@@ -1,31 +1,21 @@
 """Profiles: null census, frequencies, summaries, quantiles, outliers, correlations.
 
-Each is one aggregate pass with map-side partial results; the long forms are
-made from the single aggregated row.
+Counts and moments take one aggregate pass with map-side partial results; the
+long forms are made from the single aggregated row. Quantiles come first, as
+constants (see ``quantiles``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airseries.operators.clean import present
 from airseries.operators.columns import quoted
-
-# Rank error of the quantile sketch is 1 / accuracy of the row count.
-SKETCH_ACCURACY = 100_000
-
-
-def quantile_sketch(
-    name: str | Column, probabilities: float | Sequence[float], accuracy: int = SKETCH_ACCURACY
-) -> Column:
-    """Quantiles by a mergeable sketch of bounded size, also for dates and timestamps."""
-    c = F.col(quoted(name)) if isinstance(name, str) else name
-    p = probabilities if isinstance(probabilities, (int, float)) else list(probabilities)
-    return F.percentile_approx(c, p, accuracy)
-
+from airseries.operators.quantiles import quantiles
 
 def null_census(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One wide row: missing values per column (null, and NaN for floats)."""
@@ -68,12 +58,12 @@ def frequency(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def describe_numeric(
-    df: DataFrame, columns: Sequence[str], quantiles: Sequence[tuple[str, float]] = ()
+    df: DataFrame, columns: Sequence[str], shares: Sequence[tuple[str, float]] = ()
 ) -> DataFrame:
     """Typed summary in long form: column, count, mean, stddev, min, max and named quantiles."""
 
     def stats(name: str) -> Column:
-        x = F.col(quoted(name)).cast("double")
+        x = F.when(present(df, name), F.col(quoted(name)).cast("double"))
         parts = [
             F.lit(name).alias("column"),
             F.count(x).alias("count"),
@@ -82,54 +72,68 @@ def describe_numeric(
             F.min(x).alias("min"),
             F.max(x).alias("max"),
         ]
-        if quantiles:
-            sketch = quantile_sketch(x, [p for _, p in quantiles])
-            parts += [sketch[i].alias(label) for i, (label, _) in enumerate(quantiles)]
+        values = quantiles(df, name, [p for _, p in shares]) if shares else []
+        parts += [_double(v).alias(label) for (label, _), v in zip(shares, values)]
         return F.struct(*parts)
 
     row = df.agg(F.array(*[stats(c) for c in columns]).alias("s"))
     return row.select(F.inline("s"))
 
 
+def _double(value: float | None) -> Column:
+    return F.lit(value).cast("double")
+
+
 def summary_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``describe_numeric`` with the quartiles."""
     return describe_numeric(df, columns, [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)])
 
 
-def outlier_fences(df: DataFrame, name: str, k: float = 3.0) -> DataFrame:
-    """One row: q1, median, q3 and the fences ``q1 - k*iqr`` and ``q3 + k*iqr``."""
-    q = quantile_sketch(name, [0.25, 0.5, 0.75])
-    iqr = F.col("q")[2] - F.col("q")[0]
-    return df.agg(q.alias("q")).select(
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q3"),
-        (F.col("q")[0] - k * iqr).alias("lower"),
-        (F.col("q")[2] + k * iqr).alias("upper"),
-    )
+def approx_quantiles(
+    df: DataFrame, name: str, probabilities: Sequence[float], error: float = 0.01
+) -> list[float]:
+    """Quantiles with a rank error of at most ``error`` of the rows, in one pass."""
+    return df.approxQuantile(quoted(name), list(probabilities), error)
+
+
+@dataclass(frozen=True)
+class Fences:
+    """Quartiles and the limits ``q1 - k*iqr`` and ``q3 + k*iqr``; all None without values."""
+
+    q1: float | None
+    median: float | None
+    q3: float | None
+    lower: float | None
+    upper: float | None
+
+
+def outlier_fences(df: DataFrame, name: str, k: float = 3.0) -> Fences:
+    """Fences of a column, from its exact quartiles."""
+    q1, median, q3 = quantiles(df, name, [0.25, 0.5, 0.75])
+    if q1 is None:
+        return Fences(None, None, None, None, None)
+    return Fences(q1, median, q3, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+
+
+def outside(name: str, fences: Fences) -> Column:
+    """True for values beyond the fences, by constants that reach the file scan."""
+    c = F.col(quoted(name))
+    return (c < _double(fences.lower)) | (c > _double(fences.upper))
 
 
 def flag_outliers(df: DataFrame, name: str, k: float = 3.0, out: str = "is_outlier") -> DataFrame:
     """Adds a flag for values outside the fences; no row is removed."""
-    fences = outlier_fences(df, name, k).select(F.struct("lower", "upper").alias("f")).scalar()
-    c = F.col(quoted(name))
-    return df.withColumn(out, (c < fences["lower"]) | (c > fences["upper"]))
+    return df.withColumn(out, outside(name, outlier_fences(df, name, k)))
 
 
 def outlier_report(df: DataFrame, name: str, k: float = 3.0) -> DataFrame:
     """One row: fences, rows outside and their percentage of all rows."""
-    fences = (
-        outlier_fences(df, name, k)
-        .select(F.struct("q1", "median", "q3", "lower", "upper").alias("f"))
-        .scalar()
-    )
-    c = F.col(quoted(name))
+    fences = outlier_fences(df, name, k)
     counted = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if((c < fences["lower"]) | (c > fences["upper"])).alias("outliers"),
+        F.count(F.lit(1)).alias("total"), F.count_if(outside(name, fences)).alias("outliers")
     )
     return counted.select(
-        *[fences[f].alias(f) for f in ("q1", "median", "q3", "lower", "upper")],
+        *[_double(v).alias(f) for f, v in vars(fences).items()],
         "outliers",
         "total",
         (F.try_divide(F.col("outliers"), F.col("total")) * 100).alias("outlier_percentage"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airseries.operators.columns import quoted
 from airseries.operators.ordering import INDEX, index_tiles, sorted_tiles
-from airseries.operators.profile import quantile_sketch
+from airseries.operators.quantiles import quantiles
 
 # Multiplicative hash of an integer key. The key is first reduced
 # below 2^31, so the product fits a bigint for any key.
@@ -48,11 +48,11 @@ def random_split(
 
 
 def time_cut(df: DataFrame, ts: str, q: float = 0.8) -> str | None:
-    """The q-quantile of the time, from one pass over the time column.
+    """The q-quantile of the time, exact.
 
-    Returned as text, so that no time zone but the session's has a say in it.
+    Text, so that no time zone but the session's has a say in it.
     """
-    return df.agg(quantile_sketch(ts, q).cast("string")).first()[0]
+    return quantiles(df, ts, [q])[0]
 
 
 def cut_frames(df: DataFrame, ts: str, cut: str) -> tuple[DataFrame, DataFrame]:
@@ -66,15 +66,12 @@ def temporal_split(
 ) -> DataFrame:
     """Adds ``train`` before the q-quantile of the time and ``test`` from it on.
 
-    Without ``cut`` the quantile is a scalar subquery over ``df``, so the call
-    stays lazy but ``df`` is read twice. With ``cut`` (from ``time_cut``) it is
-    a constant.
+    The quantile is found at once, in passes over the time column only, unless
+    ``cut`` gives it. Where ``df`` is not a plain table, stage it first.
     """
-    if cut is None:
-        limit = df.agg(quantile_sketch(ts, q).alias("cut")).scalar()
-    else:
-        limit = F.lit(cut).cast(df.schema[ts].dataType)
-    return df.withColumn(out, F.when(F.col(quoted(ts)) < limit, "train").otherwise("test"))
+    at = time_cut(df, ts, q) if cut is None else cut
+    before = F.col(quoted(ts)) < F.lit(at).cast(df.schema[ts].dataType)
+    return df.withColumn(out, F.when(before, "train").otherwise("test"))
 
 
 def positional_split(

@@ -1,5 +1,6 @@
 """Filters, imputation, profiles, column maintenance, sources and sinks."""
 
+import datetime
 import math
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airseries.operators import clean, columns, profile
+from airseries.operators.quantiles import quantiles
 from airseries.session import scale_settings, stage, stage_path
 from airseries.sources import readers, sinks
 
@@ -81,10 +83,54 @@ def test_outliers(spark):
     assert [r.x for r in profile.flag_outliers(df, "x").filter("is_outlier").collect()] == [10000.0]
 
 
-def test_sketch_against_builtin(spark):
+def brute_quantiles(values, shares):
+    kept = sorted(v for v in values if v is not None and v == v)
+    return [kept[max(1, math.ceil(round(p * len(kept), 9))) - 1] for p in shares]
+
+
+SHARES = [0.0, 0.01, 0.25, 0.5, 0.8, 0.99, 1.0]
+
+
+@pytest.mark.parametrize(
+    "kind,values",
+    [
+        ("double", [1.5, None, math.nan, 2.5]),
+        ("double", [float(i % 7) for i in range(200)] + [1e6]),
+        ("double", [3.0] * 150 + [i / 3 for i in range(60)]),
+        ("double", [math.inf, -math.inf, -math.inf, 1.0, 2.0, -1e308, 1e308] + [i * 0.1 for i in range(50)]),
+        ("double", [-0.0, 0.0, 5e-324, 1e-310] * 10),
+        ("float", [i * 0.25 for i in range(77)]),
+        ("int", list(range(500)) + [None]),
+        ("long", [2**63 - 1, -(2**63), 0] + [2**60 + i for i in range(90)]),
+        ("long", [7]),
+    ],
+)
+def test_exact_quantiles(spark, kind, values):
+    df = spark.createDataFrame([(v,) for v in values], f"`a.b` {kind}").repartition(3)
+    want = brute_quantiles(values, SHARES)
+    assert quantiles(df, "a.b", SHARES) == want
+    assert quantiles(df, "a.b", SHARES, sorted_values=3, buckets=4) == want
+
+
+def test_exact_quantiles_of_time(spark):
+    base = datetime.datetime(2024, 3, 30)
+    times = [base + datetime.timedelta(microseconds=7919**2 * i) for i in range(300)] + [base] * 100
+    for kind in ("timestamp_ntz", "timestamp", "date"):
+        df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz").select(F.col("t").cast(kind))
+        want = brute_quantiles([r.t for r in df.collect()], [0.1, 0.8])
+        for found in (quantiles(df, "t", [0.1, 0.8]), quantiles(df, "t", [0.1, 0.8], 5, 16)):
+            assert [str(w) for w in want] == found
+
+
+def test_exact_quantiles_without_values(spark):
+    df = spark.createDataFrame([(None,), (math.nan,)], "x double")
+    assert quantiles(df, "x", [0.5]) == [None]
+
+
+def test_approx_quantiles(spark):
     df = spark.range(1000).select((F.col("id") * 1.0).alias("x"))
-    got = df.agg(profile.quantile_sketch("x", [0.25, 0.75])).first()[0]
-    assert got == pytest.approx(df.approxQuantile("x", [0.25, 0.75], 0.0), abs=1.0)
+    got = profile.approx_quantiles(df, "x", [0.25, 0.75])
+    assert got == pytest.approx([250, 750], abs=11)
 
 
 def test_typed_summary_equals_describe(spark, gaps):
