@@ -66,13 +66,30 @@ class _Values:
     def inside(self, span: _Span) -> Column:
         return (self.x >= self.at(span.low)) & (self.x <= self.at(span.high))
 
+    def finite(self) -> Column:
+        if self.integral:
+            return F.lit(True)
+        return (self.number > F.lit(-math.inf)) & (self.number < F.lit(math.inf))
+
     def bounds(self) -> list[Column]:
+        """Count and range of the finite values."""
+        finite = self.finite()
+        x, number = F.when(finite, self.x), F.when(finite, self.number)
+        return [
+            F.count(x).alias("rows"),
+            F.min(x).cast("string").alias("low"),
+            F.max(x).cast("string").alias("high"),
+            F.min(number).alias("low_number"),
+            F.max(number).alias("high_number"),
+        ]
+
+    def infinite(self) -> list[Column]:
+        """Counts of the values below and above all finite ones."""
+        if self.integral:
+            return [F.lit(0).alias("below"), F.lit(0).alias("above")]
         return [
-            F.count(F.lit(1)).alias("rows"),
-            F.min(self.x).cast("string").alias("low"),
-            F.max(self.x).cast("string").alias("high"),
-            F.min(self.number).alias("low_number"),
-            F.max(self.number).alias("high_number"),
+            F.count_if(self.number == F.lit(-math.inf)).alias("below"),
+            F.count_if(self.number == F.lit(math.inf)).alias("above"),
         ]
 
     def bucket(self, span: _Span, buckets: int) -> Column:
@@ -113,29 +130,21 @@ def quantiles(
     """
     column = _Values(df, name)
     kept = df.filter(present(df, name)).select(quoted(name))
-    infinite: list[Column] = []
-    if not column.integral:
-        plus, minus = F.lit(math.inf), F.lit(-math.inf)
-        infinite = [F.count_if(column.number == minus), F.count_if(column.number == plus)]
-        low_infinite, high_infinite = kept.agg(*infinite).first()
-        kept = kept.filter((column.number > minus) & (column.number < plus))
-    else:
-        low_infinite = high_infinite = 0
-    first = kept.agg(*column.bounds()).first()
-    total = first.rows + low_infinite + high_infinite
+    first = kept.agg(*column.bounds(), *column.infinite()).first()
+    total = first.below + first.rows + first.above
     if not total:
         return [None for _ in probabilities]
 
     found: dict[int, Any] = {}
     spans: dict[int, _Span] = {}
     for r in {rank(p, total) for p in probabilities}:
-        if r <= low_infinite:
+        if r <= first.below:
             found[r] = -math.inf
-        elif r > low_infinite + first.rows:
+        elif r > first.below + first.rows:
             found[r] = math.inf
         else:
             spans[r] = _Span(
-                first.low, first.high, first.low_number, first.high_number, low_infinite, first.rows
+                first.low, first.high, first.low_number, first.high_number, first.below, first.rows
             )
 
     while True:
