@@ -112,7 +112,9 @@ def build_features(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Feature table of 48 columns (plus ``by`` and ``keep``), without the warm-up rows."""
-    df = with_row_frames(clean, row_frames(causal), order, by)
+    # Only these columns are sorted, staged and shuffled.
+    needed = [*by, *keep, *order, *TARGETS, "timestamp", *WEATHER, "hour", "month", "cbwd"]
+    df = with_row_frames(clean.select(*dict.fromkeys(needed)), row_frames(causal), order, by)
     df = df.withColumns(calendar_columns("timestamp", hour="hour", month="month"))
     df = df.withColumns(interaction_columns())
     df = one_hot(df, "cbwd", WIND_DIRECTIONS, "wind")
