@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import string
 from collections.abc import Callable, Iterable, Iterator
 
@@ -19,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let local Python workers import this package from where the driver found it.
+
+    A cluster has the package installed or ships it with the job; there this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)

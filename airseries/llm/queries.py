@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airseries.llm import decontaminate, line_dedup, packing, simhash, sql, url_filter
-from airseries.llm.common import table
+from airseries.llm import decontaminate, line_dedup, lm_score, packing, quality_model, quality_rules, simhash, sql, url_filter
+from airseries.llm.common import reach_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.document_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged_pages(spark, table(spark, sf_dir, "pages"))
 
@@ -24,6 +29,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,14 +45,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def _reaching(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reach_workers(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    registered = {
+        "op1_lm_scoring": op1_lm_scoring,
         "op3_url_filters": op3_url_filters,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_packing": op5_packing,
+        "op6_quality_rules": op6_quality_rules,
+        "op8_quality_classifier": op8_quality_classifier,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
     }
+    return {name: _reaching(query) for name, query in registered.items()}
 
 
 def oracle_sql() -> dict[str, str]:
