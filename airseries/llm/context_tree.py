@@ -108,7 +108,8 @@ def top_levels(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children:
 def log10_probability(codes: np.ndarray, levels: list[Level], depth: int) -> np.ndarray:
     """Log10 of the symbol's probability after its context, by all ``depth + 1`` levels, deepest first.
 
-    A context that never occurred predicts one half for each bit.
+    A context that never occurred predicts like the longest of its suffixes that did, and one half
+    if none did.
     """
     symbol = codes & np.uint64(255)
     context = codes >> np.uint64(8)
@@ -117,7 +118,7 @@ def log10_probability(codes: np.ndarray, levels: list[Level], depth: int) -> np.
     for k in range(8):
         bit = (symbol >> np.uint64(7 - k)) & np.uint64(1)
         node = np.uint64(1 << k) | (symbol >> np.uint64(8 - k))
-        chance = np.full(len(codes), 0.5)
+        chance = np.full(len(codes), np.nan)
         for level, weight, cut in zip(levels, weights, range(depth + 1), strict=True):
             if not len(level.keys):
                 continue
@@ -126,6 +127,7 @@ def log10_probability(codes: np.ndarray, levels: list[Level], depth: int) -> np.
             known = level.keys[at] == keys
             hits = np.where(bit == 1, level.ones[at], level.zeros[at])
             own = (hits + 0.5) / (level.zeros[at] + level.ones[at] + 1.0)
-            chance = np.where(known, weight[at] * own + (1 - weight[at]) * chance, chance)
-        total += np.log10(chance)
+            deeper = np.where(np.isnan(chance), own, chance)
+            chance = np.where(known, weight[at] * own + (1 - weight[at]) * deeper, chance)
+        total += np.log10(np.where(np.isnan(chance), 0.5, chance))
     return total

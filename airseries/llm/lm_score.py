@@ -275,7 +275,7 @@ def language_scores(
     train: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    depth: int = 5,
+    depth: int = 6,
     chunk_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Log10 probability of every text by a context tree learned from the rows where ``train`` holds.
