@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airseries.llm import decontaminate, line_dedup, lm_score, packing, quality_model, quality_rules, simhash, sql, url_filter
+from airseries.llm import decontaminate, line_dedup, lm_score, packing, quality_model, quality_rules, simhash, sql, substring_dedup, url_filter
 from airseries.llm.common import reach_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.document_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passage_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged_pages(spark, table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ def _reaching(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     registered = {
         "op1_lm_scoring": op1_lm_scoring,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_url_filters": op3_url_filters,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_packing": op5_packing,
@@ -70,6 +75,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_substring_dedup": sql.SUBSTRING_DEDUP,
         "op3_url_filters": sql.URL_FILTERS,
         "op4_benchmark_decontamination": sql.DECONTAMINATION,
         "op10_line_dedup": sql.LINE_DEDUP,

@@ -85,3 +85,21 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) A
   coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
 """
+
+SUBSTRING_DEDUP = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, pos, array_to_string(list_slice(words, pos, pos + 12), ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM doc_words)
+), firsts AS (
+  SELECT win, min(doc_id) AS first_doc FROM windows GROUP BY win HAVING count(DISTINCT doc_id) > 1
+), hit AS (
+  SELECT DISTINCT w.doc_id, unnest(range(w.pos, w.pos + 13)) AS word
+  FROM windows w JOIN firsts f ON w.win = f.win AND f.first_doc < w.doc_id
+), removed AS (SELECT doc_id, list(word) AS gone FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(coalesce(gone, [])) AS BIGINT) AS n_removed,
+  sha256(array_to_string(
+    list_filter(words, lambda w, i: NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
+FROM doc_words d LEFT JOIN removed r ON d.doc_id = r.doc_id
+"""
