@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airseries.llm import decontaminate, line_dedup, lm_score, packing, quality_model, quality_rules, simhash, sql, substring_dedup, url_filter
+from airseries.llm import decontaminate, line_dedup, lm_score, packing, quality_model, quality_rules, simhash, sql, substring_dedup, token_counts, url_filter
 from airseries.llm.common import reach_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.masked_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -66,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_packing": op5_packing,
         "op6_quality_rules": op6_quality_rules,
+        "op7_token_counts": op7_token_counts,
         "op8_quality_classifier": op8_quality_classifier,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,

@@ -88,7 +88,7 @@ def encode_texts(texts: list[bytes], name: str = VOCABULARY) -> tuple[np.ndarray
     pieces = pa.Array.from_buffers(
         pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]
     ).dictionary_encode()
-    flat, bounds = _encode_pieces(pieces.dictionary, name)
+    flat, bounds = encode_pieces(pieces.dictionary, name)
     which = pieces.indices.to_numpy()
     counts = np.diff(bounds)[which]
     before = np.concatenate([[0], np.cumsum(counts)])
@@ -97,11 +97,11 @@ def encode_texts(texts: list[bytes], name: str = VOCABULARY) -> tuple[np.ndarray
     return ids, ends
 
 
-def _encode_pieces(pieces: pa.Array, name: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_pieces(pieces: pa.Array, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of distinct pieces: those cut off from both neighbours by a space in one call, others singly."""
     encoder, sizes = fast_encoder(name)
     values = pieces.to_pylist()
-    together = [v[0] == 32 and v[-1] > 32 for v in values]
+    together = [v[0] == 32 and (32 < v[-1] < 127 or v[-1] > 127 and not ODD.search(v)) for v in values]
     text = b"".join([v for v, t in zip(values, together, strict=True) if t])
     shared = np.array(encoder.encode_ordinary(text.decode()), np.uint32)
     token_ends = np.cumsum(sizes[shared])
