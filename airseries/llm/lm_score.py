@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,14 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airseries.llm import context_tree as ct
-from airseries.llm.common import as_bytes, text_key
+from airseries.llm.chunks import in_chunks
 from airseries.session import stage
 
 GRAMS, WORDS = 0, 1
 #: Contexts whose nearest bytes agree in so many bytes are worked on together.
 SHARED = 2
 #: Bytes of text whose grams are held at once.
-PART = 2 << 20
+PART = 1 << 20
 #: The key of the end token; no word is empty.
 END_KEY = xxhash.xxh3_64_intdigest(b"")
 
@@ -97,6 +99,16 @@ def unpack_keys(packed: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(packed, np.uint64), dtype=np.uint64)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in the narrowest type that holds them, after one byte for its width."""
+    width = next(w for w in (1, 2, 4, 8) if not counts.max(initial=0) >> (8 * w))
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpack_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+
+
 def asked(table: pa.Table, depth: int, routes: int) -> pa.Table:
     """What one chunk of documents asks of each route: its distinct keys, with their training counts."""
     train = table.column("train").to_numpy()
@@ -123,26 +135,40 @@ def asked(table: pa.Table, depth: int, routes: int) -> pa.Table:
         bounds = np.searchsorted(route[order], np.arange(routes + 1))
         for r in np.flatnonzero(np.diff(bounds)).tolist():
             chosen = order[bounds[r] : bounds[r + 1]]
-            rows.append((r, chunk, kind, pack_keys(keys[chosen]), counts[chosen].astype(np.int64).tobytes()))
+            rows.append((r, chunk, kind, pack_keys(keys[chosen]), pack_counts(counts[chosen])))
     return pa.table(list(map(list, zip(*rows, strict=True))), schema=ASKED)
 
 
 ASKED = pa.schema(
-    [("route", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+    [("route", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+)
+ASKED_DDL = "route int, chunk long, kind int, keys binary, counts binary"
+ROUTE = pa.schema(
+    [
+        ("chunks", pa.list_(pa.int64())),
+        ("kinds", pa.list_(pa.int32())),
+        ("keys", pa.list_(pa.binary())),
+        ("counts", pa.list_(pa.binary())),
+        ("n_words", pa.int64()),
+        ("n_distinct", pa.int64()),
+        ("node", pa.list_(pa.int64())),
+        ("zeros", pa.list_(pa.float64())),
+        ("ones", pa.list_(pa.float64())),
+        ("children", pa.list_(pa.float64())),
+    ]
 )
-ASKED_DDL = "route int, chunk int, kind int, keys binary, counts binary"
-TOP = pa.schema(
-    [("kind", pa.int32()), ("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("children", pa.float64())]
+ROUTE_DDL = (
+    "chunks array<long>, kinds array<int>, keys array<binary>, counts array<binary>, n_words long,"
+    " n_distinct long, node array<long>, zeros array<double>, ones array<double>, children array<double>"
 )
-TOP_DDL = "kind int, key long, zeros double, ones double, children double"
 
 
-def _asks(table: pa.Table, kind: int) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
-    own = table.filter(pc.equal(table.column("kind"), kind)).to_pydict()
+def _asks(asks: dict[str, list], kind: int) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+    own = [i for i, k in enumerate(asks["kinds"]) if k == kind]
     return (
-        own["chunk"],
-        [unpack_keys(k) for k in own["keys"]],
-        [np.frombuffer(c, np.int64) for c in own["counts"]],
+        [asks["chunks"][i] for i in own],
+        [unpack_keys(asks["keys"][i]) for i in own],
+        [unpack_counts(asks["counts"][i]) for i in own],
     )
 
 
@@ -151,29 +177,28 @@ def _route_levels(keys: np.ndarray, counts: np.ndarray, depth: int) -> list[ct.L
     return ct.levels_down_to(keys[learned], counts[learned], depth, SHARED)
 
 
-def route_tops(table: pa.Table, depth: int) -> pa.Table:
-    """A route's share of the nodes above the shared contexts, and of the number of words."""
-    keys, counts = summed(*_asks(table, GRAMS)[1:])
-    above, zeros, ones, children = ct.parent_sums(_route_levels(keys, counts, depth)[-1])
-    known, times = summed(*_asks(table, WORDS)[1:])
-    words = times[times > 0]
+def gathered(table: pa.Table, depth: int) -> pa.Table:
+    """One row for a route: all its asks, the sums of its nodes just above, its training words and distinct words."""
+    columns = table.to_pydict()
+    asks = {"chunks": columns["chunk"], "kinds": columns["kind"], "keys": columns["keys"], "counts": columns["counts"]}
+    above = ct.parent_sums(_route_levels(*summed(*_asks(asks, GRAMS)[1:]), depth)[-1])
+    _, times = summed(*_asks(asks, WORDS)[1:])
     return pa.table(
         [
-            np.array([GRAMS] * len(above) + [WORDS], np.int32),
-            np.append(above.astype(np.int64), 0),
-            np.append(zeros, float(words.sum())),
-            np.append(ones, float(len(words))),
-            np.append(children, 0.0),
+            *[[asks[c]] for c in ("chunks", "kinds", "keys", "counts")],
+            [int(times.sum())],
+            [int((times > 0).sum())],
+            *[[x.astype(t)] for x, t in zip(above, (np.int64, float, float, float), strict=True)],
         ],
-        schema=TOP,
+        schema=ROUTE,
     )
 
 
-def answered(table: pa.Table, depth: int, top: list[ct.Level]) -> pa.Table:
+def answered(asks: dict[str, list], depth: int, top: list[ct.Level]) -> pa.RecordBatch:
     """For each chunk that asked: log10 probabilities of its grams, training counts of its words."""
     rows = []
     for kind in (GRAMS, WORDS):
-        chunks, asked_keys, counts = _asks(table, kind)
+        chunks, asked_keys, counts = _asks(asks, kind)
         keys, sums = summed(asked_keys, counts)
         if kind == GRAMS:
             values = ct.log10_probability(keys, [*_route_levels(keys, sums, depth), *top], depth)
@@ -181,12 +206,15 @@ def answered(table: pa.Table, depth: int, top: list[ct.Level]) -> pa.Table:
         else:
             values = sums
         for chunk, own in zip(chunks, asked_keys, strict=True):
-            rows.append((chunk, kind, pack_keys(own), values[np.searchsorted(keys, own)].tobytes()))
-    return pa.table(list(map(list, zip(*rows, strict=True))), schema=ANSWERED)
+            told = values[np.searchsorted(keys, own)]
+            rows.append((chunk, kind, pack_keys(own), told.tobytes() if kind == GRAMS else pack_counts(told)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ANSWERED, strict=True)], schema=ANSWERED
+    )
 
 
-ANSWERED = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary())])
-ANSWERED_DDL = "chunk int, kind int, keys binary, numbers binary"
+ANSWERED = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary())])
+ANSWERED_DDL = "chunk long, kind int, keys binary, numbers binary"
 
 
 class Lookup:
@@ -217,11 +245,11 @@ def scored(docs: pa.Table, answers: pa.Table, depth: int, n_train: int, n_distin
     if not docs.num_rows:
         return pa.table([[]] * len(SCORED), schema=SCORED)
     got = {}
-    for kind, dtype in ((GRAMS, np.float32), (WORDS, np.int64)):
+    for kind, unpack in ((GRAMS, lambda packed: np.frombuffer(packed, np.float32)), (WORDS, unpack_counts)):
         own = answers.filter(pc.equal(answers.column("kind"), kind)).to_pydict()
         got[kind] = (
             np.concatenate([unpack_keys(k) for k in own["keys"]]),
-            np.concatenate([np.frombuffer(v, dtype) for v in own["numbers"]]),
+            np.concatenate([unpack(v) for v in own["numbers"]]),
         )
     look = Lookup(*got[GRAMS])
     order = np.argsort(got[WORDS][0])
@@ -275,8 +303,8 @@ def language_scores(
     train: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    depth: int = 6,
-    chunk_bytes: int = 16 << 20,
+    depth: int = 5,
+    chunk_bytes: int = 8 << 20,
 ) -> DataFrame:
     """Log10 probability of every text by a context tree learned from the rows where ``train`` holds.
 
@@ -286,7 +314,7 @@ def language_scores(
     the training texts. ``-score * log2(10) / bytes`` is the code length per byte.
     ``base_score`` is that of a smoothed word unigram.
 
-    The tree is never held whole. Documents go to chunks of about ``chunk_bytes`` by hash; a
+    The tree is never held whole. Documents are written once in chunks of about ``chunk_bytes``; a
     chunk asks for its distinct grams (context and byte) and words, with their training counts.
     Asks meet by the nearest context bytes (words: by hash), where the counts of all chunks
     add up to the tree's part below those bytes; the nodes above (65,280 at most)
@@ -300,30 +328,37 @@ def language_scores(
     """
     if not SHARED < depth < 8:
         raise ValueError(f"depth {depth} is not between {SHARED + 1} and 7")
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    chunks = total // chunk_bytes + 1
-    routes = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * chunks)
-    placed = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        F.encode(F.col(text_col), "UTF-8").alias("text"),
-        F.coalesce(train, F.lit(False)).alias("train"),
-        F.pmod(F.xxhash64(F.col(id_col), text_key(text_col)), F.lit(chunks)).cast("int").alias("chunk"),
+    placed = in_chunks(
+        docs,
+        chunk_bytes,
+        id=F.col(id_col).cast("long"),
+        text=F.encode(F.col(text_col), "UTF-8"),
+        train=F.coalesce(train, F.lit(False)),
     )
-    asks = stage(
-        placed.groupBy("chunk").applyInArrow(lambda table: asked(table, depth, routes), ASKED_DDL), "asks"
-    )
-    top = (
-        asks.groupBy("route")
-        .applyInArrow(lambda table: route_tops(table, depth), TOP_DDL)
-        .groupBy("kind", "key")
+    spark = docs.sparkSession
+    routes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * placed.select("chunk").distinct().count())
+    asks = placed.groupBy("chunk").applyInArrow(lambda table: asked(table, depth, routes), ASKED_DDL)
+    gather = asks.groupBy("route").applyInArrow(lambda table: gathered(table, depth), ROUTE_DDL)
+    by_route = stage(gather, "routes")
+    n_train, n_distinct = by_route.agg(
+        F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_distinct"), F.lit(0))
+    ).first()
+    nodes = (
+        by_route.select(F.inline(F.arrays_zip("node", "zeros", "ones", "children")))
+        .groupBy("node")
         .agg(F.sum("zeros"), F.sum("ones"), F.sum("children"))
         .collect()
     )
-    above = np.array([r[1:] for r in top if r[0] == GRAMS], np.float64).reshape(-1, 4)
+    above = np.array([tuple(r) for r in nodes], np.float64).reshape(-1, 4)
     levels = ct.top_levels(above[:, 0].astype(np.uint64), above[:, 1], above[:, 2], above[:, 3], SHARED - 1)
-    n_train, n_distinct = next(((int(r[2]), int(r[3])) for r in top if r[0] == WORDS), (0, 0))
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
-    answers = asks.groupBy("route").applyInArrow(lambda table: answered(table, depth, shared.value), ANSWERED_DDL)
+    shared = spark.sparkContext.broadcast(levels)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                yield answered({n: batch.column(n)[row].as_py() for n in batch.schema.names}, depth, shared.value)
+
+    answers = by_route.select("chunks", "kinds", "keys", "counts").mapInArrow(answer, ANSWERED_DDL)
     done = (
         placed.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
