@@ -83,13 +83,15 @@ def edited(
     Each edit's region runs from the last piece start before it to the first after it, so the
     characters that make those places piece starts stay. Regions that meet are one. Only regions are
     encoded; the tree's sums change along their paths. An edit that begins before the end of
-    the one before, or reaches beyond the text, is left out. Returns the new
+    the one before, reaches beyond the text or cuts a character is left out. Returns the new
     text, the number of edits applied and the bytes encoded again.
     """
     regions: list[list] = []
     done, applied = 0, 0
     for start, length, new in sorted(edits):
-        if start < done or length < 0 or start + length > len(text):
+        if start < done or length < 0 or start + length > len(text) or any(
+            0x80 <= b < 0xC0 for b in text[start : start + 1] + text[start + length : start + length + 1]
+        ):
             continue
         done, applied = start + length, applied + 1
         first, begin = tree.find(max(0, start - 1))
