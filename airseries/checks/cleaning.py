@@ -141,6 +141,18 @@ def describe_typed(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(profile.describe_numeric(readings(spark, sf), ["pm", "temp"]))
 
 
+@query(
+    "describe_text",
+    f"""WITH {R} SELECT 'direction' AS "column", count(direction) AS "count", CAST(NULL AS DOUBLE) AS mean,
+        min(direction) AS "min", max(direction) AS "max" FROM r
+        UNION ALL SELECT 'station', count(station), round(avg(station) + 1e-9, 6),
+        CAST(min(station) AS VARCHAR), CAST(max(station) AS VARCHAR) FROM r""",
+)
+def describe_text(spark: SparkSession, sf: str) -> DataFrame:
+    found = profile.describe_columns(readings(spark, sf), ["direction", "station"])
+    return rounded(found.select("column", "count", "mean", "min", "max"))
+
+
 @query(
     "summary_typed",
     _describe_sql(
@@ -163,10 +175,10 @@ def summary_typed(spark: SparkSession, sf: str) -> DataFrame:
         count(*) AS n FROM k""",
 )
 def exact_quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    # Few values may be sorted here, so that the rounds of counting are checked too.
+    # Few buckets, so that many rounds of counting are checked.
     df = readings(spark, sf)
     shares = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
-    found = quantiles(df, "pm", list(shares.values()), sorted_values=100)
+    found = quantiles(df, "pm", list(shares.values()), buckets=16)
     row = clean.drop_missing(df, "pm").agg(F.count(F.lit(1)).alias("n"))
     return row.select(*[r6(F.lit(v), name) for name, v in zip(shares, found)], "n")
 
@@ -174,25 +186,21 @@ def exact_quantiles(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "approx_quantiles",
     f"""WITH {K}, p(share) AS (VALUES (0.01e0), (0.25e0), (0.5e0), (0.75e0), (0.99e0))
-        SELECT share, count(*) > 0 AS within_error FROM k, p GROUP BY share""",
+        SELECT share, round(quantile_disc(pm, greatest(share - 0.01, 0)) + 1e-9, 6) AS low,
+            round(quantile_disc(pm, least(share + 0.01, 1)) + 1e-9, 6) AS high, TRUE AS within_error
+        FROM k, p GROUP BY share""",
 )
 def approx_quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    # Any value whose rank is off by at most one percent of the rows is right.
+    # A value is right if it lies between the exact quantiles one percent of the rows below and above.
     df = clean.drop_missing(readings(spark, sf), "pm")
     shares = [0.01, 0.25, 0.5, 0.75, 0.99]
     found = profile.approx_quantiles(df, "pm", shares, 0.01)
-    n, pm = F.count(F.lit(1)), F.col("pm")
-    checks = [
-        F.struct(
-            F.lit(p).alias("share"),
-            (
-                (F.count_if(pm < v) / n <= F.lit(p + 0.01))
-                & (F.count_if(pm <= v) / n >= F.lit(p - 0.01))
-            ).alias("within_error"),
-        )
-        for p, v in zip(shares, found)
+    ends = quantiles(df, "pm", [x for p in shares for x in (max(p - 0.01, 0), min(p + 0.01, 1))])
+    rows = [
+        (p, ends[2 * i], ends[2 * i + 1], ends[2 * i] <= v <= ends[2 * i + 1])
+        for i, (p, v) in enumerate(zip(shares, found, strict=True))
     ]
-    return df.agg(F.array(*checks).alias("c")).select(F.inline("c"))
+    return rounded(spark.createDataFrame(rows, "share double, low double, high double, within_error boolean"))
 
 
 _FENCES = f"""WITH {K}, q AS (SELECT quantile_disc(pm, 0.25) AS q1, quantile_disc(pm, 0.5) AS median,

@@ -7,15 +7,17 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airseries.checks.fixture import FILLED, K, R, filled, raw_readings, readings, table
+from airseries.checks.fixture import AQI, BAND, FILLED, K, R, filled, raw_readings, readings, table
 from airseries.checks.registry import query, r6, rounded
-from airseries.functions.bands import COARSE_BANDS, COARSE_CODES, band, encode_labels
+from airseries.checks.sources import scratch_database
+from airseries.functions.bands import COARSE_BANDS, COARSE_CODES, band, encode_labels, piecewise
 from airseries.operators import metrics, models
 from airseries.operators.clean import drop_missing
 from airseries.operators.encode import assemble, label_indexer, label_names
 from airseries.operators.one_vs_rest import (
     add_scores,
     fit_ovr_lasso,
+    grid_search,
     linear_importance,
     predict_class,
 )
@@ -25,22 +27,13 @@ from airseries.operators.temporal import rolling_mean, with_row_frames
 from airseries.plans.readings import FEATURES, build_features, prepare
 from airseries.plans.training import one_vs_rest, train_and_score
 from airseries.session import stage, stage_path
-
-# Small models: the queries check that the path works, the defaults stay large.
-SMALL_FOREST = {"maxDepth": 5, "numTrees": 10}
-SMALL_BOOSTED = {"maxDepth": 3, "maxIter": 10}
-
-MODEL_FEATURES = [
-    "hour", "day_of_week", "is_weekend", "is_rush_hour",
-    "pm25_rolling_3h", "pm25_rolling_24h", "pm25_lag_1h", "pm25_lag_24h", "TEMP", "DEWP",
-]
-
+from airseries.sources.sinks import write_checked
 
 def _model_table(spark: SparkSession, sf: str) -> DataFrame:
     """Leak-free features, with vectors, split by time."""
     features = build_features(prepare(raw_readings(spark, sf)), causal=True)
     columns = ["timestamp", "pm2_5", "aqi", "aqi_category", "features"]
-    vectors = stage(assemble(features, MODEL_FEATURES).select(*columns), "model-input")
+    vectors = stage(assemble(features, FEATURES).select(*columns), "model-input")
     return temporal_split(vectors, "timestamp", cut=time_cut(vectors, "timestamp"))
 
 
@@ -204,29 +197,66 @@ def rf_group_classes(spark: SparkSession, sf: str) -> DataFrame:
 @query("rf_regression")
 def rf_regression(spark: SparkSession, sf: str) -> DataFrame:
     data = _model_table(spark, sf)
-    _, scored = models.fit_on_train(models.forest_regressor("pm2_5", **SMALL_FOREST), data)
+    _, scored = models.fit_on_train(models.forest_regressor("pm2_5"), data)
     return rounded(models.split_metrics(scored, "pm2_5").orderBy("split"))
 
 
 @query("gbt_regression")
 def gbt_regression(spark: SparkSession, sf: str) -> DataFrame:
     data = _model_table(spark, sf)
-    _, scored = models.fit_on_train(models.boosted_regressor("pm2_5", **SMALL_BOOSTED), data)
+    _, scored = models.fit_on_train(models.boosted_regressor("pm2_5"), data)
     return rounded(models.split_metrics(scored, "pm2_5").orderBy("split"))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"""WITH {_GROUPS}, t AS (SELECT * FROM g WHERE split = 'train'),
+    v AS (SELECT (SELECT count(*) * var_pop(pm) FROM t) AS whole,
+        (SELECT sum(v) FROM (SELECT count(*) * var_pop(pm) AS v FROM t GROUP BY high)) AS by_high,
+        (SELECT sum(v) FROM (SELECT count(*) * var_pop(pm) AS v FROM t GROUP BY daytime)) AS by_day,
+        (SELECT sum(v) FROM (SELECT count(*) * var_pop(pm) AS v FROM t GROUP BY high, daytime)) AS by_both),
+    w AS (SELECT whole - by_both AS gained,
+        CASE WHEN by_high <= by_day THEN whole - by_high ELSE by_day - by_both END AS high FROM v)
+    SELECT 'high' AS feature, round(high / gained + 1e-9, 6) AS importance FROM w
+    UNION ALL SELECT 'daytime', round(1 - high / gained + 1e-9, 6) FROM w""",
+)
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    data = _model_table(spark, sf)
-    model, _ = models.fit_on_train(models.forest_regressor("pm2_5", **SMALL_FOREST), data)
-    return rounded(models.tree_importance(model, MODEL_FEATURES))
+    # A feature's importance is the variance its splits take away, as a share of all that is taken.
+    data = _grouped(spark, sf)
+    model, _ = models.fit_on_train(models.forest_regressor("pm", **FULL_TREE), data)
+    return rounded(models.tree_importance(model, ["high", "daytime"]))
 
 
-@query("score_example")
+_LINE = f"""WITH {FILLED}, c AS (SELECT regr_slope(pm, temp) AS slope, regr_intercept(pm, temp) AS intercept FROM f)"""
+
+
+@query(
+    "score_example",
+    f"""{_LINE} SELECT event_id, round(pm + 1e-9, 6) AS pm,
+        round(intercept + slope * temp + 1e-9, 6) AS prediction FROM f, c ORDER BY event_id LIMIT 1""",
+)
 def score_example(spark: SparkSession, sf: str) -> DataFrame:
-    data = _model_table(spark, sf)
-    model, _ = models.fit_on_train(models.forest_regressor("pm2_5", **SMALL_FOREST), data)
-    return rounded(models.score_example(model, data).select("timestamp", "pm2_5", "prediction"))
+    df = stage(assemble(filled(spark, sf), ["temp"]).select("event_id", "pm", "features"), "line")
+    model = models.linear_regressor("pm").fit(df)
+    scored = models.score_example(model, df, "event_id")
+    return rounded(scored.select("event_id", "pm", "prediction"))
+
+
+@query(
+    "scored_table",
+    f"""{_LINE}, s AS (SELECT event_id, ts, pm, intercept + slope * temp AS prediction FROM f, c)
+    SELECT event_id, ts, round(pm + 1e-9, 6) AS pm, round(prediction + 1e-9, 6) AS prediction,
+        round({AQI.format(x='pm')} + 1e-9, 6) AS aqi, {BAND.format(x='pm')} AS category FROM s""",
+)
+def scored_table(spark: SparkSession, sf: str) -> DataFrame:
+    # Predictions saved as a checked table with time, actual value, index and category, and read back.
+    df = filled(spark, sf).select("event_id", "ts", "pm", "temp")
+    df = df.withColumns({"aqi": piecewise("pm"), "category": band("pm")})
+    vectors = stage(assemble(df, ["temp"]).drop("temp"), "line")
+    model = models.linear_regressor("pm").fit(vectors)
+    with scratch_database(spark) as name:
+        saved = write_checked(model.transform(vectors).drop("features"), f"{name}.predictions")
+    return rounded(saved.select("event_id", "ts", "pm", "prediction", "aqi", "category"))
 
 
 @query("rf_classifier")
@@ -235,7 +265,7 @@ def rf_classifier(spark: SparkSession, sf: str) -> DataFrame:
     train = data.filter(F.col("split") == "train")
     indexer = label_indexer("aqi_category").fit(train)
     _, scored = models.fit_on_train(
-        models.forest_classifier(**SMALL_FOREST), indexer.transform(data)
+        models.forest_classifier(), indexer.transform(data)
     )
     test = label_names("prediction", "predicted", [*indexer.labels, "unseen"]).transform(
         scored.filter(F.col("split") == "test")
@@ -243,27 +273,26 @@ def rf_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.confusion_long(test, "aqi_category", "predicted", indexer.labels)
 
 
-@query("rf_probabilities")
+@query(
+    "rf_probabilities",
+    f"""WITH {_GROUPS},
+    c AS (SELECT high, daytime, category, count(*) AS n FROM g WHERE split = 'train' GROUP BY ALL),
+    l AS (SELECT high, daytime, max(n) / sum(n) AS probability FROM c GROUP BY high, daytime)
+    SELECT event_id, split, round(probability + 1e-9, 6) AS probability FROM g JOIN l USING (high, daytime)""",
+)
 def rf_probabilities(spark: SparkSession, sf: str) -> DataFrame:
-    data = _model_table(spark, sf)
-    train = data.filter(F.col("split") == "train")
-    indexed = label_indexer("aqi_category").fit(train).transform(data)
-    _, scored = models.fit_on_train(models.forest_classifier(**SMALL_FOREST), indexed)
+    # A leaf's probability of a class is the class's share of the leaf's rows.
+    data = _grouped(spark, sf)
+    indexer = label_indexer("category").fit(data.filter(F.col("split") == "train"))
+    _, scored = models.fit_on_train(models.forest_classifier(**FULL_TREE), indexer.transform(data))
     best = F.array_max(vector_to_array("probability"))
-    return rounded(
-        scored.filter(F.col("split") == "test").select(
-            "timestamp", "aqi_category", "label", "prediction", best.alias("probability")
-        )
-    )
+    return rounded(scored.select("event_id", "split", best.alias("probability")))
 
 
 @query("train_and_score")
 def train_and_score_all(spark: SparkSession, sf: str) -> DataFrame:
     features = build_features(prepare(raw_readings(spark, sf)), causal=True)
-    trained = train_and_score(
-        features,
-        params={"forest": SMALL_FOREST, "boosted": SMALL_BOOSTED, "classifier": SMALL_FOREST},
-    )
+    trained = train_and_score(features)
     return rounded(
         trained.scored.select(
             "timestamp", "pm2_5", "rf_prediction", "gb_prediction", "aqi", "aqi_category",
@@ -299,12 +328,7 @@ def _lasso_vectors(spark: SparkSession, sf: str) -> DataFrame:
         CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0.0e0 WHEN s1 >= s2 THEN 1.0e0 ELSE 2.0e0 END AS prediction FROM s""",
 )
 def ovr_lasso_line(spark: SparkSession, sf: str) -> DataFrame:
-    # With one feature the Lasso has a closed form: the correlation is pulled
-    # towards zero by the strength over the spread of the target.
-    df = filled(spark, sf).select("event_id", "ts", "pm")
-    df = with_row_frames(df, {"x": rolling_mean("pm", 6)}, ["ts", "event_id"])
-    df = df.withColumn("label", encode_labels(band("pm", COARSE_BANDS), COARSE_CODES))
-    vectors = stage(assemble(df, ["x"]).select("event_id", "label", "features"), "line")
+    vectors = _line_vectors(spark, sf)
     classes = list(COARSE_CODES)
     fitted = fit_ovr_lasso(vectors, classes, 0.05)
     scored = predict_class(add_scores(vectors, fitted), classes)
@@ -312,9 +336,57 @@ def ovr_lasso_line(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("event_id", "label", *scores, "prediction")
 
 
+def _line_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    # With one feature the Lasso has a closed form: the correlation is pulled
+    # towards zero by the strength over the spread of the target.
+    df = filled(spark, sf).select("event_id", "ts", "pm")
+    df = with_row_frames(df, {"x": rolling_mean("pm", 6)}, ["ts", "event_id"])
+    df = df.withColumn("label", encode_labels(band("pm", COARSE_BANDS), COARSE_CODES))
+    return stage(assemble(df, ["x"]).select("event_id", "label", "features"), "line")
+
+
+_LASSO = f"""WITH {FILLED}, w AS (SELECT event_id, pm, avg(pm) OVER (ORDER BY ts, event_id ROWS 5 PRECEDING) AS x,
+        CASE WHEN pm <= 35.4 THEN 0 WHEN pm <= 55.4 THEN 1 ELSE 2 END AS label FROM f),
+    c AS (SELECT t.c, corr(CAST(label = t.c AS INT), x) AS rho, stddev_pop(CAST(label = t.c AS INT)) AS sy,
+                 stddev_pop(x) AS sx, avg(CAST(label = t.c AS INT)) AS my, avg(x) AS mx
+          FROM w, (VALUES (0), (1), (2)) t(c) GROUP BY t.c),
+    grid(reg) AS (VALUES (1e-4), (1e-3), (1e-2), (1e-1), (3e-1)),
+    b AS (SELECT reg, c, sign(rho) * greatest(abs(rho) - reg / sy, 0) * sy / sx AS slope, my, mx FROM c, grid)"""
+
+
+@query(
+    "ovr_lasso_importance",
+    f"""{_LASSO} SELECT 'x' AS feature, round(sum(abs(slope)) + 1e-9, 4) AS importance FROM b WHERE reg = 0.01""",
+)
+def ovr_lasso_importance(spark: SparkSession, sf: str) -> DataFrame:
+    fitted = fit_ovr_lasso(_line_vectors(spark, sf), list(COARSE_CODES), 1e-2)
+    found = linear_importance(fitted, ["x"])
+    return found.select("feature", F.round(F.col("importance") + 1e-9, 4).alias("importance"))
+
+
+@query(
+    "ovr_lasso_grid",
+    f"""{_LASSO},
+    s AS (SELECT reg, event_id, label, max(CASE WHEN c = 0 THEN my + slope * (x - mx) END) AS s0,
+              max(CASE WHEN c = 1 THEN my + slope * (x - mx) END) AS s1,
+              max(CASE WHEN c = 2 THEN my + slope * (x - mx) END) AS s2 FROM w, b GROUP BY reg, event_id, label),
+    p AS (SELECT reg, label, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END AS guess FROM s),
+    k AS (SELECT reg, t.c, count(*) FILTER (label = t.c) AS actual, count(*) FILTER (guess = t.c) AS guessed,
+              count(*) FILTER (label = t.c AND guess = t.c) AS hit
+          FROM p, (VALUES (0), (1), (2)) t(c) GROUP BY reg, t.c)
+    SELECT CAST(reg AS DOUBLE) AS reg, round(sum(actual * CASE WHEN hit > 0 THEN 2.0e0 * hit / (actual + guessed) ELSE 0 END)
+        / sum(actual) + 1e-9, 6) AS f1 FROM k GROUP BY reg""",
+)
+def ovr_lasso_grid(spark: SparkSession, sf: str) -> DataFrame:
+    found = grid_search(_line_vectors(spark, sf), list(COARSE_CODES))
+    # One row per strength tried; the choice is the first of the best.
+    assert found.f1 == max(f1 for _, f1 in found.tried)
+    return rounded(spark.createDataFrame(found.tried, "reg double, f1 double"))
+
+
 @query("ovr_lasso")
 def ovr_lasso(spark: SparkSession, sf: str) -> DataFrame:
-    found = one_vs_rest(_lasso_vectors(spark, sf), list(COARSE_CODES), [1e-2, 1e-1])
+    found = one_vs_rest(_lasso_vectors(spark, sf), list(COARSE_CODES))
     return rounded(
         found.scored.select(
             "timestamp", "pm2_5", "label", "prediction", "air_quality_category",
@@ -326,7 +398,7 @@ def ovr_lasso(spark: SparkSession, sf: str) -> DataFrame:
 @query("ovr_lasso_metrics")
 def ovr_lasso_metrics(spark: SparkSession, sf: str) -> DataFrame:
     found = one_vs_rest(
-        _lasso_vectors(spark, sf), list(COARSE_CODES), [1e-2, 1e-1], validation=0.25
+        _lasso_vectors(spark, sf), list(COARSE_CODES), validation=0.25
     )
     measured = metrics.classification_metrics(found.scored, "label", "prediction")
     return rounded(measured.select(F.lit(found.grid.reg).alias("reg"), "*"))
@@ -340,6 +412,6 @@ def ovr_lasso_embeddings(spark: SparkSession, sf: str) -> DataFrame:
         F.col("label").cast("double").alias("label"),
     )
     classes = [str(i) for i in range(10)]
-    found = one_vs_rest(hash_split(df, "vec_id"), classes, [1e-2])
+    found = one_vs_rest(hash_split(df, "vec_id"), classes)
     names = [f"e{i}" for i in range(64)]
     return rounded(linear_importance(found.models, names, 15))

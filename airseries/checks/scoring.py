@@ -127,7 +127,8 @@ def _rule_classes(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("event_id", band("pm").alias("label"), band("before").alias("prediction"))
 
 
-_CLASSES = ", ".join(f"('{c}')" for c in CATEGORIES)
+# The first band is left out of the list, so that its rows show as "other".
+_CLASSES = ", ".join(f"('{c}')" for c in [*CATEGORIES[1:], "other"])
 
 
 @query(
@@ -135,13 +136,14 @@ _CLASSES = ", ".join(f"('{c}')" for c in CATEGORIES)
     f"""WITH {_RULE}, cls(actual) AS (VALUES {_CLASSES})
     SELECT actual, """
     + ", ".join(
-        f"count(*) FILTER (WHERE prediction = '{c}') AS \"pred_{c}\"" for c in CATEGORIES
+        f"count(*) FILTER (WHERE prediction = '{c}') AS \"pred_{c}\"" for c in CATEGORIES[1:]
     )
-    + " FROM cls LEFT JOIN b ON label = actual GROUP BY actual",
+    + f""", count(*) FILTER (WHERE prediction NOT IN ({', '.join(f"'{c}'" for c in CATEGORIES[1:])})) AS pred_other"""
+    + """ FROM cls LEFT JOIN b ON CASE WHEN label = 'Good' THEN 'other' ELSE label END = actual GROUP BY actual""",
 )
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.confusion_matrix(
-        _rule_classes(spark, sf), "label", "prediction", CATEGORIES
+        _rule_classes(spark, sf), "label", "prediction", CATEGORIES[1:]
     )
 
 
@@ -149,10 +151,11 @@ def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     "confusion_long",
     f"""WITH {_RULE}, cls(c) AS (VALUES {_CLASSES}), pairs AS (SELECT x.c AS actual, y.c AS predicted FROM cls x, cls y)
     SELECT actual, predicted, count(label) AS n FROM pairs LEFT JOIN b
-    ON label = actual AND prediction = predicted GROUP BY actual, predicted""",
+    ON CASE WHEN label = 'Good' THEN 'other' ELSE label END = actual
+    AND CASE WHEN prediction = 'Good' THEN 'other' ELSE prediction END = predicted GROUP BY actual, predicted""",
 )
 def confusion_long(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.confusion_long(_rule_classes(spark, sf), "label", "prediction", CATEGORIES)
+    return metrics.confusion_long(_rule_classes(spark, sf), "label", "prediction", CATEGORIES[1:])
 
 
 _PER_CLASS = f"""{_RULE},
@@ -190,19 +193,27 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 _SPLIT_RULE = f"""{_RULE},
 h AS (SELECT label, prediction, CASE WHEN (((event_id % 2147483647) * 2654435761) % 4294967296)
-             / 4294967296.0e0 < 0.8 THEN 'train' ELSE 'test' END AS split FROM b)"""
+             / 4294967296.0e0 < 0.8 THEN 'train' ELSE 'test' END AS split FROM b),
+a AS (SELECT split, label AS class, count(*) AS actual, count(*) FILTER (WHERE label = prediction) AS correct
+      FROM h GROUP BY split, label),
+p AS (SELECT split, prediction AS class, count(*) AS predicted FROM h GROUP BY split, prediction),
+j AS (SELECT split, actual, correct, correct / actual AS recall, coalesce(correct / predicted, 0) AS "precision"
+      FROM a LEFT JOIN p USING (split, class)),
+pc AS (SELECT *, CASE WHEN correct > 0 THEN 2 * "precision" * recall / ("precision" + recall) ELSE 0 END AS f1 FROM j)"""
 
 
 @query(
     "classification_by_split",
     f"""WITH {_SPLIT_RULE}
-    SELECT split, count(*) AS n, round(avg(CAST(label = prediction AS INT)) + 1e-9, 6) AS accuracy
-    FROM h GROUP BY split""",
+    SELECT split, CAST(sum(actual) AS BIGINT) AS n, round(sum(correct) / sum(actual) + 1e-9, 6) AS accuracy,
+        round(sum(actual * f1) / sum(actual) + 1e-9, 6) AS f1,
+        round(sum(actual * "precision") / sum(actual) + 1e-9, 6) AS weighted_precision,
+        round(sum(actual * recall) / sum(actual) + 1e-9, 6) AS weighted_recall
+    FROM pc GROUP BY split""",
 )
 def classification_by_split(spark: SparkSession, sf: str) -> DataFrame:
     marked = hash_split(_rule_classes(spark, sf), "event_id")
-    measured = metrics.classification_metrics(marked, "label", "prediction", by=["split"])
-    return rounded(measured.select("split", "n", "accuracy"))
+    return rounded(metrics.classification_metrics(marked, "label", "prediction", by=["split"]))
 
 
 @query(

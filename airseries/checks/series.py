@@ -25,8 +25,6 @@ from airseries.operators import clean, sampling
 from airseries.operators.encode import one_hot
 from airseries.operators.ordering import with_row_index
 from airseries.operators.temporal import (
-    SMALL_RANGE_ROWS,
-    SMALL_SERIES_ROWS,
     difference,
     lag,
     range_mean,
@@ -108,21 +106,21 @@ _BY_STATION = f"""WITH {FILLED} SELECT event_id, station,
     round(lag(pm, 2) OVER (PARTITION BY station ORDER BY ts, event_id) + 1e-9, 6) AS lag_2 FROM f"""
 
 
-def _station_frames(spark: SparkSession, sf: str, small_series: int) -> DataFrame:
+@query("rolling_by_station", _BY_STATION)
+def rolling_by_station(spark: SparkSession, sf: str) -> DataFrame:
     frames = {"pm_6": rolling_mean("pm", 6), "lag_2": lag("pm", 2)}
     df = filled(spark, sf).select("event_id", "ts", "station", "pm")
-    out = with_row_frames(df, frames, ORDER, by=["station"], small_series=small_series)
+    out = with_row_frames(df, frames, ORDER, by=["station"])
     return rounded(out.select("event_id", "station", *frames))
 
 
-@query("rolling_by_station", _BY_STATION)
-def rolling_by_station(spark: SparkSession, sf: str) -> DataFrame:
-    return _station_frames(spark, sf, small_series=SMALL_SERIES_ROWS)
-
-
 @query("rolling_by_station_blocks", _BY_STATION)
 def rolling_by_station_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    return _station_frames(spark, sf, small_series=0)
+    # Blocks of a few rows cut every series, and frames reach over their edges.
+    frames = {"pm_6": rolling_mean("pm", 6), "lag_2": lag("pm", 2)}
+    df = filled(spark, sf).select("event_id", "ts", "station", "pm")
+    out = with_row_frames(df, frames, ORDER, by=["station"], rows_per_block=64)
+    return rounded(out.select("event_id", "station", *frames))
 
 
 @query(
@@ -139,21 +137,25 @@ _RANGE_BY_STATION = f"""WITH {FILLED} SELECT event_id, station, round(avg(pm) OV
     ORDER BY ts RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW) + 1e-9, 6) AS pm_24h FROM f"""
 
 
-def _station_range(spark: SparkSession, sf: str, small_series: int) -> DataFrame:
-    out = range_mean(
-        filled(spark, sf), "pm", 24, "ts", "event_id", ["station"], "pm_24h", small_series
-    )
-    return rounded(out.select("event_id", "station", "pm_24h"))
-
-
 @query("time_range_by_station", _RANGE_BY_STATION)
 def time_range_by_station(spark: SparkSession, sf: str) -> DataFrame:
-    return _station_range(spark, sf, small_series=SMALL_RANGE_ROWS)
+    df = filled(spark, sf)
+    out = range_mean(df, "pm", 24, "ts", "event_id", ["station"], "pm_24h")
+    return rounded(out.select("event_id", "station", "pm_24h"))
 
 
 @query("time_range_by_station_sums", _RANGE_BY_STATION)
 def time_range_by_station_sums(spark: SparkSession, sf: str) -> DataFrame:
-    return _station_range(spark, sf, small_series=0)
+    # The same rows, with an infinite value and a NaN added to every station, which are missing.
+    df = filled(spark, sf).select("event_id", "ts", "station", "pm")
+    odd = df.select(
+        (-F.col("event_id") - 1).alias("event_id"),
+        "ts",
+        "station",
+        F.when(F.col("event_id") % 2 == 0, float("inf")).otherwise(float("nan")).alias("pm"),
+    )
+    out = range_mean(df.union(odd), "pm", 24, "ts", "event_id", ["station"], "pm_24h")
+    return rounded(out.filter("event_id >= 0").select("event_id", "station", "pm_24h"))
 
 
 @query(

@@ -78,19 +78,54 @@ def confusion_counts(
 def confusion_long(
     df: DataFrame, label: str, prediction: str, classes: Sequence[Any]
 ) -> DataFrame:
-    """Every pair of the listed classes with its count, zero included."""
-    counts = confusion_counts(df, label, prediction).filter(
-        F.col("actual").isin(*classes) & F.col("predicted").isin(*classes)
-    )
-    zeros = df.sparkSession.createDataFrame(
-        [(a, p, 0) for a in classes for p in classes],
-        counts.schema,
-    )
-    return (
-        counts.unionByName(zeros)
-        .groupBy("actual", "predicted")
-        .agg(F.sum("n").alias("n"))
-        .orderBy("actual", "predicted")
+    """Every pair of the listed classes and ``OTHER`` with its count, zero included.
+
+    ``OTHER`` (null where classes are not text) stands for all other labels,
+    predictions and nulls, so the counts add up to the rows.
+    """
+    cells = [(a, p) for a in range(len(classes) + 1) for p in range(len(classes) + 1)]
+    row = _confusion_row(df, label, prediction, classes, cells)
+    shown = [*classes, _other(classes)]
+    pairs = [
+        F.struct(
+            _shown(shown[a], classes).alias("actual"),
+            _shown(shown[p], classes).alias("predicted"),
+            F.col(f"n_{a}_{p}").alias("n"),
+        )
+        for a, p in cells
+    ]
+    return row.select(F.inline(F.array(*pairs)))
+
+
+#: What stands for labels that are not listed.
+OTHER = "other"
+
+
+def _other(classes: Sequence[Any]) -> str | None:
+    return OTHER if all(isinstance(c, str) for c in classes) else None
+
+
+def _shown(value: Any, classes: Sequence[Any]) -> Column:
+    """The value as a column; a null of the classes' type for None."""
+    return F.when(F.lit(False), F.lit(classes[0])) if value is None else F.lit(value)
+
+
+def _place(name: str, classes: Sequence[Any]) -> Column:
+    """Position of the value among the classes; one past the last for all else."""
+    c = F.col(quoted(name))
+    place = F.lit(len(classes))
+    for i, one in reversed(list(enumerate(classes))):
+        place = F.when(c == F.lit(one), i).otherwise(place)
+    return place
+
+
+def _confusion_row(
+    df: DataFrame, label: str, prediction: str, classes: Sequence[Any], cells: list[tuple[int, int]]
+) -> DataFrame:
+    """One row with the count of every cell, from one aggregate."""
+    placed = df.select(_place(label, classes).alias("a"), _place(prediction, classes).alias("p"))
+    return placed.agg(
+        *[F.count_if((F.col("a") == a) & (F.col("p") == p)).alias(f"n_{a}_{p}") for a, p in cells]
     )
 
 
@@ -101,22 +136,24 @@ def confusion_matrix(
     classes: Sequence[Any],
     names: Mapping[Any, str] | None = None,
 ) -> DataFrame:
-    """One row per class in the listed order, one ``pred_<class>`` column per class, zero-filled."""
+    """One row per class in the listed order and one for all else, one ``pred_<class>`` column each.
+
+    The row and the column of labels not listed are called as in ``confusion_long``
+    and ``pred_other``; the cells add up to the rows of ``df``.
+    """
     names = dict(names or {c: str(c) for c in classes})
-    # The counts have at most one row per class pair.
-    long = confusion_long(df, label, prediction, classes)
-    cells = [
-        F.sum(F.when(F.col("predicted") == c, F.col("n")).otherwise(0)).alias(f"pred_{names[c]}")
-        for c in classes
+    places = range(len(classes) + 1)
+    row = _confusion_row(df, label, prediction, classes, [(a, p) for a in places for p in places])
+    shown = [*classes, _other(classes)]
+    titles = [f"pred_{names[c]}" for c in classes] + [f"pred_{OTHER}"]
+    lines = [
+        F.struct(
+            _shown(shown[a], classes).alias("actual"),
+            *[F.col(f"n_{a}_{p}").alias(titles[p]) for p in places],
+        )
+        for a in places
     ]
-    position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("actual"))
-    return (
-        long.groupBy("actual")
-        .agg(*cells)
-        .withColumn("_p", position)
-        .orderBy("_p")
-        .drop("_p")
-    )
+    return row.select(F.inline(F.array(*lines)))
 
 
 def class_metrics(

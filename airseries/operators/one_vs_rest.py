@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +46,12 @@ def fit_ovr_lasso(
         )
         return lasso.fit(df.select(features, target.alias("y")))
 
+    # Wrapped anew for each fit: a wrapped function sets the one copy of the local properties
+    # taken when it was wrapped, which concurrent fits must not share.
+    inherit = inheritable_thread_target(df.sparkSession)
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        run = inheritable_thread_target(df.sparkSession)(fit)
-        return dict(zip(classes, pool.map(run, enumerate(classes))))
+        fits = [pool.submit(inherit(fit), item) for item in enumerate(classes)]
+        return {c: f.result() for c, f in zip(classes, fits, strict=True)}
 
 
 def add_scores(df: DataFrame, models: Mapping[str, LinearRegressionModel]) -> DataFrame:
@@ -85,18 +88,13 @@ def grid_search(
     """The strength with the best weighted F1; the first one wins a tie.
 
     Scored on ``validate``, or on the training rows where none is given. The
-    training frame is kept for the many fits and can be recomputed from its
-    lineage where an executor is lost.
+    fits read ``train`` many times, so it should be a staged or saved table.
     """
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tried = []
-        for reg in grid:
-            models = fit_ovr_lasso(kept, classes, reg, label=label, **fit_params)
-            scored = predict_class(add_scores(kept if validate is None else validate, models), classes)
-            tried.append((reg, float(classification_metrics(scored, label, "prediction").first()["f1"])))
-    finally:
-        kept.unpersist()
+    tried = []
+    for reg in grid:
+        models = fit_ovr_lasso(train, classes, reg, label=label, **fit_params)
+        scored = predict_class(add_scores(train if validate is None else validate, models), classes)
+        tried.append((reg, float(classification_metrics(scored, label, "prediction").first()["f1"])))
     best = tried[0]
     for candidate in tried[1:]:
         if candidate[1] > best[1]:

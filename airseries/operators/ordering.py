@@ -18,20 +18,32 @@ from airseries.session import stage
 
 TILE, POS, INDEX = "_tile", "_pos", "_index"
 
+# Rows of one sorted tile at most, roughly; a few hundred MB of narrow rows.
+ROWS_PER_TILE = 4_000_000
+
 # Documented layout of monotonically_increasing_id: partition above, row below.
 _POSITION_BITS = 33
 
 
-def sorted_tiles(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def tile_count(rows: int, partitions: int, rows_per_tile: int = ROWS_PER_TILE) -> int:
+    """Tiles for so many rows: as many as there are shuffle partitions, more if tiles would grow too large."""
+    return max(partitions, -(-rows // rows_per_tile))
+
+
+def sorted_tiles(df: DataFrame, order: Sequence[str], rows_per_tile: int = ROWS_PER_TILE) -> DataFrame:
     """Range-sort by ``order`` (which must be unique) and keep tile and position of each row.
 
     A tile is one sorted partition; tiles follow each other in order. The result
-    is staged, because a second evaluation could draw other range bounds. The
-    tile size is set by ``spark.sql.shuffle.partitions``.
+    is staged, because a second evaluation could draw other range bounds. The rows
+    are counted first, so a tile has about ``rows_per_tile`` rows at most whatever
+    ``spark.sql.shuffle.partitions`` says.
     """
     number = F.monotonically_increasing_id()
     keys = [F.col(quoted(c)) for c in order]
-    staged = stage(df.orderBy(*keys).withColumn("_number", number), "sorted")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = tile_count(df.count(), partitions, rows_per_tile)
+    ranged = df.repartitionByRange(tiles, *keys).sortWithinPartitions(*keys)
+    staged = stage(ranged.withColumn("_number", number), "sorted")
     mask = (1 << _POSITION_BITS) - 1
     return staged.withColumns(
         {
@@ -56,7 +68,7 @@ def running_start(totals: DataFrame, *measures: str) -> DataFrame:
 def index_tiles(tiles: DataFrame, name: str = INDEX) -> DataFrame:
     """Dense row number from 0 over all tiles, in their order."""
     sizes = running_start(tiles.groupBy(TILE).agg(F.count(F.lit(1)).alias("n")), "n")
-    # One row per sort partition: bounded by spark.sql.shuffle.partitions.
+    # One row per sort partition: one for each few million rows.
     starts = F.broadcast(sizes.select(TILE, "n_start"))
     return tiles.join(starts, TILE).withColumn(name, F.col("n_start") + F.col(POS)).drop(
         TILE, POS, "n_start"

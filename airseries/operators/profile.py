@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airseries.operators.clean import present
 from airseries.operators.columns import quoted
-from airseries.operators.quantiles import quantiles
+from airseries.operators.quantiles import quantiles, quantiles_of
+
 
 def null_census(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One wide row: missing values per column (null, and NaN for floats)."""
@@ -60,7 +63,12 @@ def frequency(df: DataFrame, *keys: str) -> DataFrame:
 def describe_numeric(
     df: DataFrame, columns: Sequence[str], shares: Sequence[tuple[str, float]] = ()
 ) -> DataFrame:
-    """Typed summary in long form: column, count, mean, stddev, min, max and named quantiles."""
+    """Typed summary in long form: column, count, mean, stddev, min, max and named quantiles.
+
+    The quantiles of all columns share their passes. Columns are numeric; for
+    others see ``describe_columns``.
+    """
+    found = quantiles_of(df, {c: [p for _, p in shares] for c in columns}) if shares else {}
 
     def stats(name: str) -> Column:
         x = F.when(present(df, name), F.col(quoted(name)).cast("double"))
@@ -72,7 +80,7 @@ def describe_numeric(
             F.min(x).alias("min"),
             F.max(x).alias("max"),
         ]
-        values = quantiles(df, name, [p for _, p in shares]) if shares else []
+        values = found.get(name, [])
         parts += [_double(v).alias(label) for (label, _), v in zip(shares, values)]
         return F.struct(*parts)
 
@@ -80,8 +88,32 @@ def describe_numeric(
     return row.select(F.inline("s"))
 
 
-def _double(value: float | None) -> Column:
-    return F.lit(value).cast("double")
+def describe_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Summary of columns of any type: count of present values, smallest and largest as text.
+
+    ``mean`` and ``stddev`` are null where a column is no number. One aggregate pass.
+    """
+    names = list(df.columns if columns is None else columns)
+
+    def stats(name: str) -> Column:
+        x = F.when(present(df, name), F.col(quoted(name)))
+        numeric = isinstance(df.schema[name].dataType, T.NumericType)
+        number = x.cast("double") if numeric else F.lit(None).cast("double")
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.count(x).alias("count"),
+            F.avg(number).alias("mean"),
+            F.stddev_samp(number).alias("stddev"),
+            F.min(x).cast("string").alias("min"),
+            F.max(x).cast("string").alias("max"),
+        )
+
+    row = df.agg(F.array(*[stats(c) for c in names]).alias("s"))
+    return row.select(F.inline("s"))
+
+
+def _double(value: Any) -> Column:
+    return F.lit(None if value is None else float(value)).cast("double")
 
 
 def summary_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,9 +141,10 @@ class Fences:
 
 def outlier_fences(df: DataFrame, name: str, k: float = 3.0) -> Fences:
     """Fences of a column, from its exact quartiles."""
-    q1, median, q3 = quantiles(df, name, [0.25, 0.5, 0.75])
-    if q1 is None:
+    found = quantiles(df, name, [0.25, 0.5, 0.75])
+    if found[0] is None:
         return Fences(None, None, None, None, None)
+    q1, median, q3 = map(float, found)
     return Fences(q1, median, q3, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
 
 

@@ -1,17 +1,18 @@
-"""Exact quantiles of a column of any size.
+"""Exact quantiles of columns of any size.
 
 One sketch over the whole table would have to be merged in one task, and its
-partial sketches grow with the number of files. Here the column is counted in
+partial sketches grow with the number of files. Here columns are counted in
 buckets instead: each round keeps only the buckets that hold a wanted rank, so
-the rows looked at shrink about a thousandfold per round, and no task or driver
-sees more than a fixed number of values.
+the span looked at shrinks about a thousandfold per round, until it holds one
+value. No task or driver ever sees more than the counts of a round.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal, localcontext
 from fractions import Fraction
 from typing import Any
 
@@ -22,12 +23,12 @@ from pyspark.sql import types as T
 from airseries.operators.clean import present
 from airseries.operators.columns import quoted
 
-# Up to this many values are sorted in one task.
-SORTED_VALUES = 200_000
-
 # Buckets per round and wanted span.
 BUCKETS = 1024
 
+# Doubles below this are scaled up, so that halves of their differences are not zero.
+TINY = 1e-200
+
 
 @dataclass(frozen=True)
 class _Span:
@@ -35,80 +36,86 @@ class _Span:
 
     low: str
     high: str
-    low_number: float
-    high_number: float
     below: int
-    rows: int
 
 
 class _Values:
-    """The column as values to compare and as numbers to cut into buckets."""
+    """A column as values to compare and as numbers to cut into buckets."""
 
     def __init__(self, df: DataFrame, name: str):
         self.kind = df.schema[name].dataType
-        self.x = F.col(quoted(name))
-        self.integral = True
-        if isinstance(self.kind, T.TimestampNTZType):
-            start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-            self.number = F.timestamp_diff("MICROSECOND", start, self.x)
-        elif isinstance(self.kind, T.TimestampType):
-            self.number = F.unix_micros(self.x)
-        elif isinstance(self.kind, T.DateType):
-            self.number = F.unix_date(self.x).cast("long")
-        elif isinstance(self.kind, T.IntegralType):
-            self.number = self.x.cast("long")
-        else:
-            self.integral, self.number = False, self.x.cast("double")
+        self.x = F.when(present(df, name), F.col(quoted(name)))
+        self.floating = isinstance(self.kind, (T.FloatType, T.DoubleType))
 
     def at(self, text: str) -> Column:
         return F.lit(text).cast(self.kind)
 
-    def inside(self, span: _Span) -> Column:
-        return (self.x >= self.at(span.low)) & (self.x <= self.at(span.high))
-
-    def finite(self) -> Column:
-        if self.integral:
-            return F.lit(True)
-        return (self.number > F.lit(-math.inf)) & (self.number < F.lit(math.inf))
+    def number(self, x: Column) -> Column:
+        """Whole numbers that rise with the value; not for floats and decimals."""
+        if isinstance(self.kind, T.TimestampNTZType):
+            start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            return F.timestamp_diff("MICROSECOND", start, x)
+        if isinstance(self.kind, T.TimestampType):
+            return F.unix_micros(x)
+        if isinstance(self.kind, T.DateType):
+            return F.unix_date(x).cast("long")
+        return x.cast("long")
 
     def bounds(self) -> list[Column]:
-        """Count and range of the finite values."""
-        finite = self.finite()
-        x, number = F.when(finite, self.x), F.when(finite, self.number)
-        return [
-            F.count(x).alias("rows"),
-            F.min(x).cast("string").alias("low"),
-            F.max(x).cast("string").alias("high"),
-            F.min(number).alias("low_number"),
-            F.max(number).alias("high_number"),
-        ]
-
-    def infinite(self) -> list[Column]:
-        """Counts of the values below and above all finite ones."""
-        if self.integral:
-            return [F.lit(0).alias("below"), F.lit(0).alias("above")]
-        return [
-            F.count_if(self.number == F.lit(-math.inf)).alias("below"),
-            F.count_if(self.number == F.lit(math.inf)).alias("above"),
-        ]
+        """Rows, smallest and largest of the finite values; rows below and above all finite ones."""
+        if not self.floating:
+            none = F.lit(0).cast("long")
+            return [F.count(self.x), *self._ends(self.x), none, none]
+        low, high = F.lit(-math.inf), F.lit(math.inf)
+        finite = F.when((self.x > low) & (self.x < high), self.x)
+        return [F.count(finite), *self._ends(finite), F.count_if(self.x == low), F.count_if(self.x == high)]
+
+    @staticmethod
+    def _ends(x: Column) -> list[Column]:
+        return [F.min(x).cast("string"), F.max(x).cast("string")]
 
     def bucket(self, span: _Span, buckets: int) -> Column:
-        """Bucket number within the span; it never falls while the value rises."""
-        low, high = span.low_number, span.high_number
-        if self.integral and high - low < 2**62:
-            width = (high - low) // buckets + 1
-            return F.floor((self.number - F.lit(low)) / F.lit(width)).cast("int")
-        # Halved, so that the difference of two huge numbers stays finite. Where
-        # the half of a tiny difference is zero, one bucket takes all.
-        half = high * 0.5 - low * 0.5
-        share = F.try_divide(self.number * 0.5 - F.lit(low * 0.5), F.lit(half))
-        number = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
-        return F.coalesce(number, F.lit(0))
+        """Bucket within the span, null outside; it never falls while the value rises.
+
+        The smallest value has the first bucket and the largest the last one, so a
+        round always splits a span of two values or more.
+        """
+        low, high = self.at(span.low), self.at(span.high)
+        if self.floating:
+            # Halved, so that the difference of two huge numbers stays finite.
+            top = max(abs(float(span.low)), abs(float(span.high)))
+            scale = 2.0**600 if top < TINY else 0.5
+            share = (self.x.cast("double") * scale - low.cast("double") * scale) / (
+                high.cast("double") * scale - low.cast("double") * scale
+            )
+            inner = F.floor(share * buckets)
+        elif isinstance(self.kind, T.DecimalType):
+            with localcontext(prec=100):
+                step = Decimal(1).scaleb(-self.kind.scale)
+                width = ((Decimal(span.high) - Decimal(span.low)) / buckets // step + 1) * step
+            wide = f"decimal({min(38, self.kind.precision + 1)},{self.kind.scale})"
+            gap = self.x.cast(wide) - low.cast(wide)
+            inner = F.floor(gap / F.lit(str(width)).cast(wide))
+        else:
+            inner = F.floor(
+                (self.number(self.x).cast("decimal(38,0)") - self.number(low).cast("decimal(38,0)"))
+                * buckets
+                / (self.number(high).cast("decimal(38,0)") - self.number(low).cast("decimal(38,0)"))
+            )
+        inner = F.least(F.greatest(inner.cast("int"), F.lit(1)), F.lit(buckets - 2))
+        return (
+            F.when(self.x.isNull() | (self.x < low) | (self.x > high), None)
+            .when(self.x == low, 0)
+            .when(self.x == high, buckets - 1)
+            .otherwise(inner)
+        )
 
     def value(self, text: str) -> Any:
         if isinstance(self.kind, T.IntegralType):
             return int(text)
-        return float(text) if isinstance(self.kind, (T.FloatType, T.DoubleType, T.DecimalType)) else text
+        if isinstance(self.kind, T.DecimalType):
+            return Decimal(text)
+        return float(text) if self.floating else text
 
 
 def rank(p: float, rows: int) -> int:
@@ -117,87 +124,93 @@ def rank(p: float, rows: int) -> int:
 
 
 def quantiles(
-    df: DataFrame,
-    name: str,
-    probabilities: Sequence[float],
-    sorted_values: int = SORTED_VALUES,
-    buckets: int = BUCKETS,
+    df: DataFrame, name: str, probabilities: Sequence[float], buckets: int = BUCKETS
 ) -> list[Any]:
-    """Exact quantiles of the present values: numbers as such, dates and times as text.
+    """Exact quantiles of the present values of one column; see ``quantiles_of``."""
+    return quantiles_of(df, {name: probabilities}, buckets)[name]
 
-    Runs one pass for the bounds, one per round, and a last one that sorts what
-    is left; all probabilities share the passes. ``None`` where there is no value.
-    """
-    column = _Values(df, name)
-    kept = df.filter(present(df, name)).select(quoted(name))
-    first = kept.agg(*column.bounds(), *column.infinite()).first()
-    total = first.below + first.rows + first.above
-    if not total:
-        return [None for _ in probabilities]
-
-    found: dict[int, Any] = {}
-    spans: dict[int, _Span] = {}
-    for r in {rank(p, total) for p in probabilities}:
-        if r <= first.below:
-            found[r] = -math.inf
-        elif r > first.below + first.rows:
-            found[r] = math.inf
-        else:
-            spans[r] = _Span(
-                first.low, first.high, first.low_number, first.high_number, first.below, first.rows
-            )
 
+def quantiles_of(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], buckets: int = BUCKETS
+) -> dict[str, list[Any]]:
+    """Exact quantiles of the present values of several columns.
+
+    Integers, floats and decimals come back as such (decimals exactly), dates and
+    times as text; ``None`` where a column has no value. One pass finds the bounds
+    of all columns; each round is one pass over them, for all columns and ranks
+    that are still open.
+    """
+    names = list(wanted)
+    if not names:
+        return {}
+    columns = {name: _Values(df, name) for name in names}
+    kept = df.select(*[F.col(quoted(c)) for c in names])
+    first = kept.agg(*[b for name in names for b in columns[name].bounds()]).first()
+    found: dict[tuple[str, int], Any] = {}
+    spans: dict[tuple[str, int], _Span] = {}
+    totals = {}
+    for i, name in enumerate(names):
+        rows, low, high, below, above = first[5 * i : 5 * i + 5]
+        totals[name] = below + rows + above
+        for r in {rank(p, totals[name]) for p in wanted[name]} if totals[name] else ():
+            if r <= below:
+                found[name, r] = -math.inf
+            elif r > below + rows:
+                found[name, r] = math.inf
+            else:
+                spans[name, r] = _Span(low, high, below)
     while True:
-        for r, span in list(spans.items()):
+        for (name, r), span in list(spans.items()):
             if span.low == span.high:
-                found[r] = column.value(span.low)
-                del spans[r]
-        wide = {r: s for r, s in spans.items() if s.rows > sorted_values}
-        if not wide:
+                found[name, r] = columns[name].value(span.low)
+                del spans[name, r]
+        if not spans:
             break
-        # A bucket that takes all rows of its span has the same bounds again, so
-        # only spans that lose rows go on.
-        smaller = {
-            r: s for r, s in _narrow(kept, column, wide, buckets).items() if s.rows < spans[r].rows
-        }
-        if not smaller:
-            break
-        spans.update(smaller)
-
-    if spans:
-        lists = {
-            r: F.sort_array(F.collect_list(F.when(column.inside(s), column.x)))[r - s.below - 1]
-            for r, s in spans.items()
-        }
-        row = kept.agg(*[c.cast("string").alias(f"r{r}") for r, c in lists.items()]).first()
-        found.update({r: column.value(row[f"r{r}"]) for r in spans})
-    return [found[rank(p, total)] for p in probabilities]
+        spans = _narrow(kept, columns, spans, buckets)
+    return {
+        name: [found[name, rank(p, totals[name])] if totals[name] else None for p in wanted[name]]
+        for name in names
+    }
 
 
 def _narrow(
-    kept: DataFrame, column: _Values, spans: dict[int, _Span], buckets: int
-) -> dict[int, _Span]:
-    """For each rank the bucket of its span that holds it."""
-    distinct = list(dict.fromkeys(spans.values()))
-    key, wanted = None, None
-    for i, span in enumerate(distinct):
-        number = F.lit(i * buckets) + column.bucket(span, buckets)
-        inside = column.inside(span)
-        key = F.when(inside, number) if key is None else key.when(inside, number)
-        wanted = inside if wanted is None else wanted | inside
+    kept: DataFrame,
+    columns: Mapping[str, _Values],
+    spans: Mapping[tuple[str, int], _Span],
+    buckets: int,
+) -> dict[tuple[str, int], _Span]:
+    """For each rank the bucket of its span that holds it, from one pass over all columns."""
+    distinct = list(dict.fromkeys((name, span) for (name, _), span in spans.items()))
+    open_columns = list(dict.fromkeys(name for name, _ in distinct))
+    keys, ends = [], []
+    for name in open_columns:
+        key = F.lit(None).cast("int")
+        for i, (owner, span) in enumerate(distinct):
+            if owner == name:
+                key = F.coalesce(key, F.lit(i * buckets) + columns[name].bucket(span, buckets))
+        keys.append(key)
+        ends.append(columns[name].x)
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), k.alias("key")) for i, k in enumerate(keys)])
+    exploded = kept.select(
+        *[x.alias(f"x{i}") for i, x in enumerate(ends)], F.inline(cells)
+    ).filter("key is not null")
     # At most BUCKETS rows per span reach the driver.
-    counted = kept.filter(wanted).groupBy(key.alias("key")).agg(*column.bounds()).collect()
+    sides = [
+        side(F.when(F.col("c") == i, F.col(f"x{i}"))).cast("string")
+        for i in range(len(ends))
+        for side in (F.min, F.max)
+    ]
+    counted = exploded.groupBy("c", "key").agg(F.count(F.lit(1)).alias("rows"), *sides).collect()
     by_span: dict[int, list] = {}
-    for row in sorted(counted, key=lambda c: c.key):
+    for row in sorted(counted, key=lambda x: x.key):
         by_span.setdefault(row.key // buckets, []).append(row)
     out = {}
-    for r, span in spans.items():
+    for (name, r), span in spans.items():
         below = span.below
-        for row in by_span[distinct.index(span)]:
+        for row in by_span[distinct.index((name, span))]:
             if r <= below + row.rows:
-                out[r] = _Span(
-                    row.low, row.high, row.low_number, row.high_number, below, row.rows
-                )
+                low, high = row[3 + 2 * row.c], row[4 + 2 * row.c]
+                out[name, r] = _Span(low, high, below)
                 break
             below += row.rows
     return out

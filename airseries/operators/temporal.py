@@ -22,12 +22,9 @@ from airseries.operators.ordering import (
 # large enough that the rows copied between blocks are well below one percent.
 ROWS_PER_BLOCK = 4096
 
-# A series up to this many rows is sorted by one task without harm.
-SMALL_SERIES_ROWS = 1_000_000
-
-# The RANGE window adds up each row's frame afresh, so its work can grow with the
-# square of the series.
-SMALL_RANGE_ROWS = 10_000
+# Binary orders of magnitude that share one exact running sum. A double has 53
+# digits, 2^40 rows add 40 more, and a decimal holds 126.
+SUM_BITS = 32
 
 _BLOCK = "_block"
 
@@ -63,36 +60,24 @@ def difference(name: str, k: int, shift: int = 0) -> RowFrame:
     return RowFrame(k + shift, build)
 
 
-def largest_series(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows of the largest series; one pre-aggregated pass over the key columns."""
-    sizes = df.groupBy(*[F.col(quoted(c)) for c in by]).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def with_row_frames(
     df: DataFrame,
     frames: Mapping[str, RowFrame],
     order: Sequence[str],
     by: Sequence[str] = (),
     rows_per_block: int = ROWS_PER_BLOCK,
-    small_series: int = SMALL_SERIES_ROWS,
 ) -> DataFrame:
     """Adds one column per row frame.
 
     ``by + order`` must be unique, else ties would make the result undefined.
-    Keyed frames whose largest series has at most ``small_series`` rows (checked,
-    0 switches it off) use a plain keyed window. All others, and every frame
-    without a key, are cut into blocks of the total order; each block also gets
-    the last rows of the block before it, as many as the longest look-back, so
-    every frame is whole. All frames share one sort and one window operator.
+    The total order is cut into blocks, with or without a key and whatever the
+    size of a series; each block also gets the last rows of the block before it,
+    as many as the longest look-back, so every frame is whole. All frames share
+    one sort and one window operator.
     """
     if not frames:
         return df
     keys = [F.col(quoted(c)) for c in by]
-    if by and small_series and largest_series(df, by) <= small_series:
-        window = Window.partitionBy(*keys).orderBy(*[F.col(quoted(c)) for c in order])
-        return df.withColumns({name: f.build(window) for name, f in frames.items()})
-
     lookback = max(f.lookback for f in frames.values())
     size = max(rows_per_block, lookback, 1)
     indexed = index_tiles(sorted_tiles(df, [*by, *order]))
@@ -108,6 +93,18 @@ def with_row_frames(
     )
 
 
+def magnitudes(df: DataFrame, value: Column) -> list[int]:
+    """The groups of SUM_BITS binary orders of magnitude that the values fall into, at most 66."""
+    group = _magnitude(value)
+    row = df.select(group.alias("g")).agg(F.sort_array(F.collect_set("g"))).first()
+    return list(row[0])
+
+
+def _magnitude(value: Column) -> Column:
+    """Group of a finite value other than zero; null for all others."""
+    return F.when(value != 0, F.floor(F.log2(F.abs(value)) / SUM_BITS).cast("int"))
+
+
 def range_mean(
     df: DataFrame,
     name: str,
@@ -116,66 +113,78 @@ def range_mean(
     row_id: str,
     by: Sequence[str] = (),
     out: str = "range_mean",
-    small_series: int = SMALL_RANGE_ROWS,
 ) -> DataFrame:
     """Mean over the rows at most ``hours`` before each row's time, both ends included.
 
     Returns ``by``, ``ts``, ``row_id`` and the mean; ``row_id`` must be unique.
-    Series that are checked to be small use a RANGE window. Otherwise a frame can
-    hold any share of the table, so no frame is gathered: each row sends one mark
-    to the start and one to the end of its frame, rows and marks are sorted
-    together, and the mean follows from the difference of two running sums. The
-    sums are decimals with nine places, so the difference loses nothing.
+    Values that are null, NaN or infinite are missing: they count in no mean, and
+    a frame without any value has none.
+
+    A frame can hold any share of the table, so no frame is gathered: each row
+    sends one mark to the start and one to the end of its frame, rows and marks
+    are sorted together, and the mean follows from the difference of two running
+    sums. Each sum is a whole number in units far below its values' last digit, one
+    for each group of magnitudes that occurs, so differences lose nothing at any
+    size and any mix of values.
     """
     keys = [F.col(quoted(c)) for c in by]
     cols = [*keys, F.col(quoted(ts)), F.col(quoted(row_id))]
-    if by and small_series and largest_series(df, by) <= small_series:
-        frame = f"RANGE BETWEEN INTERVAL '{int(hours)}' HOUR PRECEDING AND CURRENT ROW"
-        series = ", ".join(quoted(c) for c in by)
-        mean = F.expr(
-            f"avg({quoted(name)}) OVER (PARTITION BY {series} ORDER BY {quoted(ts)} {frame})"
-        )
-        return df.select(*cols, mean.alias(out))
+    number = F.col(quoted(name)).cast("double")
+    value = F.when(F.abs(number) < F.lit(float("inf")), number)
+    groups = magnitudes(df, value)
 
     # Marks sort before (start) or after (end) the rows with the same time.
     start, row, end = 0, 1, 2
-    value = F.when(~F.isnan(F.col(quoted(name)).cast("double")), F.col(quoted(name)))
-    weight, zero = value.cast("decimal(28,9)"), F.lit(0).cast("decimal(28,9)")
+    zero = F.lit(0).cast("decimal(38,0)")
     at = F.col(quoted(ts))
-
-    def record(kind: int, when: Column, w: Column, c: Column) -> Column:
-        return F.struct(
-            when.alias("_at"),
-            F.lit(kind).alias("_kind"),
-            F.coalesce(w, zero).alias("_w"),
-            c.cast("long").alias("_c"),
-        )
+    # Scaled in two steps, as the factor itself can be beyond the range of a double.
+    halves = {g: (52 - SUM_BITS * g) / 2 for g in groups}
+
+    def weight(group: int) -> Column:
+        step = F.lit(2.0 ** int(halves[group]))
+        rest = F.lit(2.0 ** (52 - SUM_BITS * group - int(halves[group])))
+        whole = (value * step * rest).cast("decimal(38,0)")
+        return F.when(_magnitude(value) == group, whole)
+
+    def record(kind: int, when: Column, filled: bool) -> Column:
+        sums = [
+            F.coalesce(weight(g) if filled else zero, zero).alias(f"_w{i}")
+            for i, g in enumerate(groups)
+        ]
+        count = value.isNotNull().cast("long") if filled else F.lit(0).cast("long")
+        return F.struct(when.alias("_at"), F.lit(kind).alias("_kind"), count.alias("_c"), *sums)
 
     records = F.array(
-        record(start, at - F.expr(f"INTERVAL '{int(hours)}' HOUR"), zero, F.lit(0)),
-        record(row, at, weight, value.isNotNull()),
-        record(end, at, zero, F.lit(0)),
-    )
-    tiles = sorted_tiles(
-        df.select(*cols, F.inline(records)), [*by, "_at", "_kind", row_id]
+        record(start, at - F.expr(f"INTERVAL '{int(hours)}' HOUR"), False),
+        record(row, at, True),
+        record(end, at, False),
     )
+    measures = ["_c", *[f"_w{i}" for i in range(len(groups))]]
+    tiles = sorted_tiles(df.select(*cols, F.inline(records)), [*by, "_at", "_kind", row_id])
     # Differences are taken within one series only, so the running sums may go
     # on from one series to the next; each window below holds one tile.
-    sums = tiles.groupBy(TILE).agg(F.sum("_w").alias("w"), F.sum("_c").alias("c"))
-    totals = running_start(sums, "w", "c")
+    sums = tiles.groupBy(TILE).agg(*[F.sum(m).alias(m) for m in measures])
+    totals = running_start(sums, *measures)
     # One row per sort partition.
-    starts = F.broadcast(totals.select(TILE, "w_start", "c_start"))
+    starts = F.broadcast(totals.select(TILE, *[f"{m}_start" for m in measures]))
     inside = Window.partitionBy(TILE).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    summed = tiles.withColumns(
-        {"_ws": F.sum("_w").over(inside), "_cs": F.sum("_c").over(inside)}
-    ).join(starts, TILE)
+    summed = tiles.withColumns({f"{m}_run": F.sum(m).over(inside) for m in measures}).join(starts, TILE)
+
+    def within(measure: str) -> Column:
+        def at_mark(kind: int) -> Column:
+            running = F.col(f"{measure}_run") + F.col(f"{measure}_start")
+            return F.max(F.when(F.col("_kind") == kind, running))
 
-    def at_mark(kind: int, running: str, offset: str) -> Column:
-        return F.max(F.when(F.col("_kind") == kind, F.col(running) + F.col(offset)))
+        return at_mark(end) - at_mark(start)
 
     ends = summed.filter(F.col("_kind") != row).groupBy(*cols).agg(
-        (at_mark(end, "_ws", "w_start") - at_mark(start, "_ws", "w_start")).alias("_sum"),
-        (at_mark(end, "_cs", "c_start") - at_mark(start, "_cs", "c_start")).alias("_n"),
+        *[within(m).alias(m) for m in measures]
     )
-    mean = F.try_divide(F.col("_sum").cast("double"), F.col("_n"))
+    # The largest magnitudes last: small ones are added up before they meet large ones.
+    total = F.lit(0.0)
+    for i, g in enumerate(groups):
+        step = F.lit(2.0 ** -int(halves[g]))
+        rest = F.lit(2.0 ** -(52 - SUM_BITS * g - int(halves[g])))
+        total = total + F.col(f"_w{i}").cast("double") / F.col("_c") * rest * step
+    mean = F.when(F.col("_c") > 0, total)
     return ends.select(*cols, mean.alias(out))

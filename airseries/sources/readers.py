@@ -29,7 +29,7 @@ MEASUREMENT_SCHEMA = T.StructType(
         T.StructField("parameter", T.StringType()),
         T.StructField("value", T.DoubleType()),
         T.StructField("unit", T.StringType()),
-        T.StructField("date", T.StructType([T.StructField("utc", T.TimestampNTZType())])),
+        T.StructField("date", T.StructType([T.StructField("utc", T.StringType())])),
     ]
 )
 
@@ -51,13 +51,19 @@ def read_readings_csv(
     path: str | list[str],
     schema: T.StructType = READINGS_SCHEMA,
     null_value: str = "NA",
+    malformed: str = "FAILFAST",
 ) -> DataFrame:
-    """Delimited readings with a header; ``null_value`` and NaN become null."""
+    """Delimited readings with a header; ``null_value`` and NaN become null.
+
+    A cell that does not fit its type stops the read; ``malformed="PERMISSIVE"``
+    makes it null and ``"DROPMALFORMED"`` drops its row, as the CSV source has it.
+    """
     raw = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("nullValue", null_value)
+        .option("mode", malformed)
         .csv(path)
     )
     return nan_to_null(raw)
@@ -69,19 +75,41 @@ def read_measurements_json(
     country: str | None = None,
     parameters: Sequence[str] | None = None,
     date_from: datetime | str | None = None,
+    limit: int | None = None,
     schema: T.StructType = MEASUREMENT_SCHEMA,
 ) -> DataFrame:
-    """Landed JSON-lines measurements, filtered as the service's query would."""
-    df = spark.read.schema(schema).json(path)
+    """Landed JSON-lines measurements, filtered as the service's query would.
+
+    ``date.utc`` is a time in UTC whatever zone or offset its text names; text
+    without one is UTC. Text that is no time stops the read, so no row is lost by
+    it, and so does a malformed record. ``limit`` keeps the newest rows, ties by
+    the other columns.
+    """
+    df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    df = df.withColumn("date", F.when(F.col("date").isNotNull(), F.struct(utc_time(F.col("date.utc")).alias("utc"))))
     if country is not None:
         df = df.filter(F.col("country") == country)
     if parameters is not None:
         df = df.filter(F.col("parameter").isin(*parameters))
     if date_from is not None:
         df = df.filter(F.col("date.utc") >= F.lit(str(date_from)).cast("timestamp_ntz"))
+    if limit is not None:
+        rest = [c for c in df.columns if c != "date"]
+        df = df.orderBy(F.desc("date.utc"), *[_quoted(c) for c in rest]).limit(limit)
     return df
 
 
+def utc_time(text: Column) -> Column:
+    """A time without zone, in UTC, from text with a zone, an offset or neither; else an error."""
+    zoned = F.when(text.rlike(r"(?i)(Z|UTC|[+-]\d{2}:?\d{2})\s*$"), text).otherwise(F.concat(text, F.lit("Z")))
+    micros = F.unix_micros(F.try_to_timestamp(zoned))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    wrong = F.raise_error(F.concat(F.lit("not a time: "), text)).cast("timestamp_ntz")
+    return F.when(text.isNotNull() & micros.isNull(), wrong).otherwise(
+        F.timestamp_add("MICROSECOND", micros, epoch)
+    )
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by name."""
     return spark.table(name)

@@ -2,6 +2,7 @@
 
 import datetime
 import math
+from decimal import Decimal
 import uuid
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airseries.operators import clean, columns, profile
-from airseries.operators.quantiles import quantiles
+from airseries.operators.quantiles import quantiles, quantiles_of
 from airseries.session import scale_settings, stage, stage_path
 from airseries.sources import readers, sinks
 
@@ -109,7 +110,7 @@ def test_exact_quantiles(spark, kind, values):
     df = spark.createDataFrame([(v,) for v in values], f"`a.b` {kind}").repartition(3)
     want = brute_quantiles(values, SHARES)
     assert quantiles(df, "a.b", SHARES) == want
-    assert quantiles(df, "a.b", SHARES, sorted_values=3, buckets=4) == want
+    assert quantiles(df, "a.b", SHARES, buckets=4) == want
 
 
 def test_exact_quantiles_of_time(spark):
@@ -118,7 +119,7 @@ def test_exact_quantiles_of_time(spark):
     for kind in ("timestamp_ntz", "timestamp", "date"):
         df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz").select(F.col("t").cast(kind))
         want = brute_quantiles([r.t for r in df.collect()], [0.1, 0.8])
-        for found in (quantiles(df, "t", [0.1, 0.8]), quantiles(df, "t", [0.1, 0.8], 5, 16)):
+        for found in (quantiles(df, "t", [0.1, 0.8]), quantiles(df, "t", [0.1, 0.8], 16)):
             assert [str(w) for w in want] == found
 
 
@@ -127,6 +128,28 @@ def test_exact_quantiles_without_values(spark):
     assert quantiles(df, "x", [0.5]) == [None]
 
 
+@pytest.mark.parametrize("kind,first,step", [
+    ("decimal(38,4)", "12345678901234567000", "1"),
+    ("decimal(38,20)", "0.00000000000000000001", "0.00000000000000000001"),
+    ("decimal(10,2)", "-3.00", "0.01"),
+])
+def test_exact_quantiles_of_decimals(spark, kind, first, step):
+    values = [Decimal(first) + i * Decimal(step) for i in range(500)] + [Decimal(first)] * 100
+    df = spark.createDataFrame([(str(v),) for v in values], "x string").select(F.col("x").cast(kind))
+    want = brute_quantiles(values, SHARES)
+    assert quantiles(df, "x", SHARES) == want
+    assert quantiles(df, "x", SHARES, buckets=4) == want
+
+
+def test_quantiles_of_several_columns(spark):
+    rows = [(float(i % 13), i, None if i % 3 else i * 7) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, b int, c long").repartition(4)
+    got = quantiles_of(df, {"a": SHARES, "b": [0.5], "c": [0.25, 0.75]}, buckets=8)
+    assert got["a"] == brute_quantiles([r[0] for r in rows], SHARES)
+    assert got["b"] == brute_quantiles([r[1] for r in rows], [0.5])
+    assert got["c"] == brute_quantiles([r[2] for r in rows], [0.25, 0.75])
+
+
 def test_approx_quantiles(spark):
     df = spark.range(1000).select((F.col("id") * 1.0).alias("x"))
     got = profile.approx_quantiles(df, "x", [0.25, 0.75])
@@ -181,6 +204,29 @@ def test_json_filters(spark, tmp_path):
     assert [r.location for r in got.collect()] == ["a"]
 
 
+def test_json_times_and_limit(spark, tmp_path):
+    texts = ["2024-01-10T01:00:00Z", "2024-01-10T01:00:00+00:00", "2024-01-10T02:00:00+01:00", "2024-01-10T01:00:00"]
+    path = tmp_path / "t.json"
+    path.write_text("\n".join('{"location":"%d","date":{"utc":"%s"}}' % (i, t) for i, t in enumerate(texts)))
+    rows = readers.read_measurements_json(spark, str(path)).collect()
+    assert {r.date.utc for r in rows} == {datetime.datetime(2024, 1, 10, 1)} and len(rows) == 4
+    kept = readers.read_measurements_json(spark, str(path), date_from="2024-01-10 01:00:00", limit=2)
+    assert [r.location for r in kept.collect()] == ["0", "1"]
+    path.write_text('{"location":"x","date":{"utc":"soon"}}')
+    with pytest.raises(Exception, match="not a time"):
+        readers.read_measurements_json(spark, str(path)).collect()
+
+
+def test_malformed_csv_cell_stops_the_read(spark, tmp_path):
+    names = ",".join(f.name for f in readers.READINGS_SCHEMA)
+    path = tmp_path / "bad.csv"
+    path.write_text(names + "\n1,2010,1,1,0,many,-21,-11,1021,NW,1.79,0,0\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_readings_csv(spark, str(path)).collect()
+    loose = readers.read_readings_csv(spark, str(path), malformed="PERMISSIVE").first()
+    assert loose["pm2.5"] is None and loose["DEWP"] == -21.0
+
+
 def test_literal_tables(spark):
     schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.DoubleType())])
     assert readers.literal_rows(spark, [("x", 1.0)], schema).schema == schema

@@ -73,10 +73,22 @@ def test_confusion_equals_brute_force(spark, scored):
     classes = [0.0, 1.0, 2.0, 3.0, 4.0]  # the last one never occurs
     names = dict(zip(classes, "abcde"))
     got = metrics.confusion_matrix(scored, "label", "prediction", classes, names)
-    assert got.columns == ["actual", *[f"pred_{n}" for n in "abcde"]]
-    assert [list(r)[1:] for r in got.collect()] == want.tolist()
+    assert got.columns == ["actual", *[f"pred_{n}" for n in "abcde"], "pred_other"]
+    padded = np.pad(want, (0, 1))
+    assert [list(r)[1:] for r in got.collect()] == padded.tolist()
     long = metrics.confusion_long(scored, "label", "prediction", classes).collect()
-    assert [r.n for r in long] == want.flatten().tolist()
+    assert [r.n for r in long] == padded.flatten().tolist()
+
+
+def test_confusion_keeps_labels_that_are_not_listed(spark):
+    rows = [("a", "a"), ("b", "unseen"), ("new", "a"), (None, "b"), ("a", None)]
+    df = spark.createDataFrame(rows, "y string, p string")
+    long = metrics.confusion_long(df, "y", "p", ["a", "b"])
+    cells = {(r.actual, r.predicted): r.n for r in long.collect()}
+    assert sum(cells.values()) == 5 and len(cells) == 9
+    assert cells["other", "a"] == cells["other", "b"] == cells["a", "other"] == cells["b", "other"] == 1
+    plan = metrics.confusion_matrix(df, "y", "p", ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 2
 
 
 def test_one_hot_and_assemble(spark):
@@ -165,7 +177,7 @@ def test_trees_beat_the_mean(spark):
         model, scored = models.fit_on_train(estimator, data)
         rows = {r.split: r for r in models.split_metrics(scored, "pm2_5").collect()}
         assert rows["test"].r2 > 0.7 and rows["train"].n + rows["test"].n == 800
-        assert models.score_example(model, data).count() == 1
+        assert models.score_example(model, data, "id").count() == 1
     forest, _ = models.fit_on_train(models.forest_regressor(numTrees=5, maxDepth=3), data)
     top = models.tree_importance(forest, ["a", "b"], 5).collect()
     assert [r.importance for r in top] == sorted((r.importance for r in top), reverse=True)

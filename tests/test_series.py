@@ -1,6 +1,7 @@
 """Row frames, time ranges, splits and samples against plain windows and brute force."""
 
 import datetime
+import math
 import random
 
 import pytest
@@ -10,12 +11,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from airseries.operators import sampling
-from airseries.operators.ordering import with_row_index
+from airseries.operators.ordering import tile_count, with_row_index
 from airseries.operators.temporal import (
     RowFrame,
     difference,
     lag,
-    largest_series,
     range_mean,
     rolling_mean,
     with_row_frames,
@@ -70,17 +70,20 @@ def plain(df, by):
 @pytest.mark.parametrize("rows_per_block", [1, 8, 13, 100_000])
 def test_blocks_equal_one_partition(spark, by, rows_per_block):
     df = series(spark, 400)
-    got = with_row_frames(df, FRAMES, ["ts", "id"], by, rows_per_block, small_series=0)
+    got = with_row_frames(df, FRAMES, ["ts", "id"], by, rows_per_block)
     assert got.columns == [*df.columns, *FRAMES]
     assert as_set(got, "id", *FRAMES) == as_set(plain(df, by), "id", *FRAMES)
     assert got.count() == 400
 
 
-def test_small_series_use_plain_window(spark):
-    df = series(spark, 200)
-    got = with_row_frames(df, FRAMES, ["ts", "id"], ["station"])
+def test_one_hot_series(spark):
+    df = series(spark, 200).withColumn("station", F.when(F.col("id") < 190, 1).otherwise(2))
+    got = with_row_frames(df, FRAMES, ["ts", "id"], ["station"], rows_per_block=16)
     assert as_set(got, "id", *FRAMES) == as_set(plain(df, ["station"]), "id", *FRAMES)
-    assert "_index" not in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_tiles_follow_the_rows():
+    assert tile_count(0, 8) == 8 and tile_count(10**6, 8, 10**5) == 10 and tile_count(1001, 1, 1000) == 2
 
 
 def test_no_single_partition(spark):
@@ -101,7 +104,6 @@ def test_empty_and_one_row(spark):
     empty = df.filter("id < 0")
     assert with_row_frames(empty, FRAMES, ["ts", "id"]).count() == 0
     assert with_row_frames(empty, FRAMES, ["ts", "id"], ["station"]).count() == 0
-    assert largest_series(empty, ["station"]) == 0
     assert with_row_frames(df, {}, ["ts", "id"]) is df
 
 
@@ -143,10 +145,9 @@ def brute_range(rows, hours, keyed):
 
 
 @pytest.mark.parametrize("by", [(), ("station",)])
-@pytest.mark.parametrize("small_series", [0, 10_000])
-def test_time_range(spark, by, small_series):
+def test_time_range(spark, by):
     df = series(spark, 300, seed=3)
-    got = range_mean(df, "v", 3, "ts", "id", by, "m", small_series)
+    got = range_mean(df, "v", 3, "ts", "id", by, "m")
     want = brute_range(df.collect(), 3, bool(by))
     have = {r.id: r.m for r in got.collect()}
     assert have.keys() == want.keys()
@@ -154,6 +155,23 @@ def test_time_range(spark, by, small_series):
     assert all(have[i] is None for i in want if want[i] is None)
 
 
+@pytest.mark.parametrize("by", [(), ("s",)])
+def test_time_range_keeps_every_magnitude(spark, by):
+    at = datetime.datetime(2024, 1, 1)
+    values = [1e-10, 3e-10, math.nan, 2.0, 1e20, math.inf, 5e-324, -1e300, 1e300, None, 0.0]
+    rows = [(i, "a", at + datetime.timedelta(hours=2 * i), v) for i, v in enumerate(values)]
+    # Frames of one row hold its own value to the last digit, whatever the others are.
+    df = spark.createDataFrame(rows, "id long, s string, ts timestamp_ntz, v double")
+    got = {r.id: r.m for r in range_mean(df, "v", 1, "ts", "id", by, "m").collect()}
+    want = [None if v is None or not math.isfinite(v) else v for v in values]
+    assert [got[i] for i in range(len(values))] == want
+    wide = {r.id: r.m for r in range_mean(df, "v", 3, "ts", "id", by, "m").collect()}
+    assert wide[1] == pytest.approx(2e-10, rel=1e-15) and wide[2] == 3e-10
+    assert wide[8] == 0.0 and wide[4] == pytest.approx(5e19, rel=1e-15)
+    none = df.withColumn("v", F.lit(None).cast("double"))
+    assert {r.m for r in range_mean(none, "v", 3, "ts", "id", by, "m").collect()} == {None}
+
+
 def test_splits(spark):
     df = series(spark, 205)
     rows = sampling.positional_split(df, ["ts", "id"], 0.8).collect()
