@@ -185,17 +185,17 @@ def exact_quantiles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "approx_quantiles",
-    f"""WITH {K}, p(share) AS (VALUES (0.01e0), (0.25e0), (0.5e0), (0.75e0), (0.99e0))
-        SELECT share, round(quantile_disc(pm, greatest(share - 0.01, 0)) + 1e-9, 6) AS low,
-            round(quantile_disc(pm, least(share + 0.01, 1)) + 1e-9, 6) AS high, TRUE AS within_error
-        FROM k, p GROUP BY share""",
+    f"""WITH {K} SELECT unnest([0.01e0, 0.25e0, 0.5e0, 0.75e0, 0.99e0]) AS share,
+        round(unnest(quantile_disc(pm, [0.0, 0.24, 0.49, 0.74, 0.98])) + 1e-9, 6) AS low,
+        round(unnest(quantile_disc(pm, [0.02, 0.26, 0.51, 0.76, 1.0])) + 1e-9, 6) AS high, TRUE AS within_error
+        FROM k""",
 )
 def approx_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     # A value is right if it lies between the exact quantiles one percent of the rows below and above.
     df = clean.drop_missing(readings(spark, sf), "pm")
     shares = [0.01, 0.25, 0.5, 0.75, 0.99]
     found = profile.approx_quantiles(df, "pm", shares, 0.01)
-    ends = quantiles(df, "pm", [x for p in shares for x in (max(p - 0.01, 0), min(p + 0.01, 1))])
+    ends = quantiles(df, "pm", [round(x, 2) for p in shares for x in (p - 0.01, p + 0.01)])
     rows = [
         (p, ends[2 * i], ends[2 * i + 1], ends[2 * i] <= v <= ends[2 * i + 1])
         for i, (p, v) in enumerate(zip(shares, found, strict=True))

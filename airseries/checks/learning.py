@@ -276,15 +276,15 @@ def rf_classifier(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "rf_probabilities",
     f"""WITH {_GROUPS},
-    c AS (SELECT high, daytime, category, count(*) AS n FROM g WHERE split = 'train' GROUP BY ALL),
-    l AS (SELECT high, daytime, max(n) / sum(n) AS probability FROM c GROUP BY high, daytime)
-    SELECT event_id, split, round(probability + 1e-9, 6) AS probability FROM g JOIN l USING (high, daytime)""",
+    l AS (SELECT high, avg(CAST(pm > 50.0005 AS INT)) AS share FROM g WHERE split = 'train' GROUP BY high)
+    SELECT event_id, split, round(greatest(share, 1 - share) + 1e-9, 6) AS probability FROM g JOIN l USING (high)""",
 )
 def rf_probabilities(spark: SparkSession, sf: str) -> DataFrame:
-    # A leaf's probability of a class is the class's share of the leaf's rows.
-    data = _grouped(spark, sf)
-    indexer = label_indexer("category").fit(data.filter(F.col("split") == "train"))
-    _, scored = models.fit_on_train(models.forest_classifier(**FULL_TREE), indexer.transform(data))
+    # A leaf's probability of a class is the class's share of the leaf's rows. A high mean goes
+    # with a high value, so the two leaves name different classes and are not merged.
+    grouped = _grouped(spark, sf).drop("features")
+    data = assemble(grouped, ["high"]).withColumn("label", (F.col("pm") > 50.0005).cast("double"))
+    _, scored = models.fit_on_train(models.forest_classifier(**FULL_TREE), data)
     best = F.array_max(vector_to_array("probability"))
     return rounded(scored.select("event_id", "split", best.alias("probability")))
 
@@ -371,11 +371,11 @@ def ovr_lasso_importance(spark: SparkSession, sf: str) -> DataFrame:
               max(CASE WHEN c = 1 THEN my + slope * (x - mx) END) AS s1,
               max(CASE WHEN c = 2 THEN my + slope * (x - mx) END) AS s2 FROM w, b GROUP BY reg, event_id, label),
     p AS (SELECT reg, label, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END AS guess FROM s),
-    k AS (SELECT reg, t.c, count(*) FILTER (label = t.c) AS actual, count(*) FILTER (guess = t.c) AS guessed,
+    tally AS (SELECT reg, t.c, count(*) FILTER (label = t.c) AS actual, count(*) FILTER (guess = t.c) AS guessed,
               count(*) FILTER (label = t.c AND guess = t.c) AS hit
           FROM p, (VALUES (0), (1), (2)) t(c) GROUP BY reg, t.c)
     SELECT CAST(reg AS DOUBLE) AS reg, round(sum(actual * CASE WHEN hit > 0 THEN 2.0e0 * hit / (actual + guessed) ELSE 0 END)
-        / sum(actual) + 1e-9, 6) AS f1 FROM k GROUP BY reg""",
+        / sum(actual) + 1e-9, 6) AS f1 FROM tally GROUP BY reg""",
 )
 def ovr_lasso_grid(spark: SparkSession, sf: str) -> DataFrame:
     found = grid_search(_line_vectors(spark, sf), list(COARSE_CODES))

@@ -73,12 +73,27 @@ def stage_path(spark: SparkSession, label: str) -> str:
 
 
 def drop_stages(spark: SparkSession) -> bool:
-    """Delete what this application staged; DataFrames built on it can not be read any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_home(spark))
+    """Delete what this application staged; DataFrames built on it can not be read any more.
+
+    Databases and tables of the session's catalog that lie in the folder go with it.
+    """
+    home = _stage_home(spark)
+    for database in spark.catalog.listDatabases():
+        if home in database.locationUri:
+            spark.sql(f"DROP DATABASE IF EXISTS `{database.name}` CASCADE")
+    for table in spark.catalog.listTables("default"):
+        if not table.isTemporary and home in _location(spark, table.name):
+            spark.sql(f"DROP TABLE IF EXISTS default.`{table.name}`")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.delete(path, True)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED default.`{table}`").filter("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else ""
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 

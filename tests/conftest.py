@@ -6,11 +6,12 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from airseries.session import local_session  # noqa: E402
+from airseries.session import drop_stages, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", "tests")
     yield session
+    drop_stages(session)
     session.stop()

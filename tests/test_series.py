@@ -2,6 +2,7 @@
 
 import datetime
 import math
+import os
 import random
 
 import pytest
@@ -272,3 +273,15 @@ def test_category_columns(spark):
         "aqi_very_unhealthy", "aqi_hazardous",
     ]
     assert all(sum(r[n] for n in names) == 1 for r in out.collect())
+
+
+def test_dropped_stages_leave_nothing(spark):
+    from airseries.checks.sources import table_report
+    from airseries.session import drop_stages, stage_root
+
+    table_report(spark, "/root/testdata/sf0.001").collect()
+    home = f"{stage_root(spark)}/airseries/{spark.sparkContext.applicationId}".removeprefix("file:")
+    assert os.path.isdir(home)
+    drop_stages(spark)
+    assert not os.path.exists(home)
+    assert not [d.name for d in spark.catalog.listDatabases() if d.name.startswith("db_")]
