@@ -283,8 +283,10 @@ def rf_probabilities(spark: SparkSession, sf: str) -> DataFrame:
     # A leaf's probability of a class is the class's share of the leaf's rows. A high mean goes
     # with a high value, so the two leaves name different classes and are not merged.
     grouped = _grouped(spark, sf).drop("features")
-    data = assemble(grouped, ["high"]).withColumn("label", (F.col("pm") > 50.0005).cast("double"))
-    _, scored = models.fit_on_train(models.forest_classifier(**FULL_TREE), data)
+    grouped = grouped.withColumn("side", F.when(F.col("pm") > 50.0005, "above").otherwise("below"))
+    data = assemble(grouped, ["high"])
+    indexer = label_indexer("side").fit(data.filter(F.col("split") == "train"))
+    _, scored = models.fit_on_train(models.forest_classifier(**FULL_TREE), indexer.transform(data))
     best = F.array_max(vector_to_array("probability"))
     return rounded(scored.select("event_id", "split", best.alias("probability")))
 
