@@ -42,23 +42,56 @@ class SuffixAutomaton:
         return clone
 
     def add(self, tokens: Sequence, owner) -> None:
-        steps, link, length = self.steps, self.link, self.length
+        # The lists are bound to local names: this loop is the cost of a build.
+        steps, link, length, first = self.steps, self.link, self.length, self.first
         last = 0
         for token in tokens:
             there = steps[last].get(token)
             if there is not None:
                 last = there if length[there] == length[last] + 1 else self._split(last, token, there)
                 continue
-            new = self._state({}, length[last] + 1, 0, owner)
+            new = len(link)
+            steps.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            first.append(owner)
             parent = last
-            while parent != -1 and token not in steps[parent]:
-                steps[parent][token] = new
+            while parent != -1:
+                onward = steps[parent]
+                there = onward.get(token)
+                if there is not None:
+                    link[new] = there if length[there] == length[parent] + 1 else self._split(parent, token, there)
+                    break
+                onward[token] = new
                 parent = link[parent]
-            if parent != -1:
-                there = steps[parent][token]
-                link[new] = there if length[there] == length[parent] + 1 else self._split(parent, token, there)
             last = new
 
+    def firsts(self, tokens: Sequence, size: int, unseen) -> list:
+        """For every run of ``size`` tokens: the first owner of a sequence with it, or ``unseen``."""
+        steps, link, length, first = self.steps, self.link, self.length, self.first
+        state = matched = 0
+        found = []
+        for token in tokens:
+            there = steps[state].get(token)
+            while there is None and state:
+                state = link[state]
+                matched = length[state]
+                there = steps[state].get(token)
+            if there is None:
+                found.append(unseen)
+                continue
+            state = there
+            matched += 1
+            if matched < size:
+                found.append(unseen)
+                continue
+            # Only the last ``size`` tokens count, so the match is cut to them.
+            while length[link[state]] >= size:
+                state = link[state]
+            matched = size
+            found.append(first[state])
+        return found[size - 1 :]
+
     def advance(self, state: int, matched: int, token) -> tuple[int, int]:
         """Matching statistics one token on: the state and length of the longest suffix that occurs."""
         steps, link = self.steps, self.link

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import string
 from collections.abc import Callable, Iterable, Iterator
@@ -91,6 +92,28 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give what this worker freed back to the system; workers are kept for the next tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; freed memory stays with the worker
+
+
+def lean(work: Callable) -> Callable:
+    """``work`` on one grouped table or a pair of them, with freed memory given back after each group."""
+
+    def done(*tables: pa.Table) -> pa.Table:
+        try:
+            return work(*tables)
+        finally:
+            release_memory()
+
+    # Spark counts the arguments to tell what to pass.
+    return (lambda table: done(table)) if work.__code__.co_argcount == 1 else (lambda a, b: done(a, b))
+
+
 def as_bytes(column: pa.Array) -> pa.Array:
     """A string column as bytes without decoding; nulls stay null."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airseries.llm.automaton import SuffixAutomaton
-from airseries.llm.common import id_of, text_key
+from airseries.llm.common import id_of, lean, text_key
 from airseries.llm.lm_score import pack_keys, part_words, parts_of, unpack_keys, word_keys
 
 #: Words of the k-grams of which the smallest hash is a window's anchor.
@@ -156,30 +156,36 @@ def match(table: pa.Table, window: int) -> pa.Table:
     with windows not seen before are added.
     """
     columns = table.to_pydict()
+    # Small numbers in place of hashes: the automaton's steps are looked up by them.
+    _, codes = np.unique(
+        np.concatenate([np.frombuffer(w, np.uint64) for w in columns["words"]]), return_inverse=True
+    )
     runs = []
-    for row, (bodies, sizes, numbers, places, ids) in enumerate(
-        zip(*(columns[c] for c in ("words", "sizes", "numbers", "places", "ids")), strict=True)
+    at = 0
+    for row, (sizes, numbers, places, ids) in enumerate(
+        zip(*(columns[c] for c in ("sizes", "numbers", "places", "ids")), strict=True)
     ):
-        words = np.frombuffer(bodies, np.uint64)
         sizes, numbers = np.frombuffer(sizes, np.int32), np.frombuffer(numbers, np.int32)
         places, ids = np.frombuffer(places, np.int32).reshape(-1, 2), np.frombuffer(ids, np.int64)
-        ends, upto = np.cumsum(sizes), np.cumsum(numbers)
-        for end, size, till, number in zip(ends.tolist(), sizes.tolist(), upto.tolist(), numbers.tolist(), strict=True):
+        upto = np.cumsum(numbers)
+        for size, till, number in zip(sizes.tolist(), upto.tolist(), numbers.tolist(), strict=True):
             own = slice(till - number, till)
-            runs.append((int(ids[own].min()), row, words[end - size : end], places[own], ids[own]))
+            runs.append((int(ids[own].min()), row, codes[at : at + size], places[own], ids[own]))
+            at += size
     runs.sort(key=lambda run: run[:2])
     automaton = SuffixAutomaton()
     covered: dict[int, list[tuple[int, int, int]]] = {}
+    known: dict[bytes, np.ndarray] = {}
     for least, row, words, places, ids in runs:
-        tokens = words.tolist()
-        state = matched = 0
-        first = []
-        for token in tokens:
-            state, matched = automaton.advance(state, matched, token)
-            first.append(automaton.first[automaton.capped(state, window)] if matched >= window else least)
-        first = np.array(first[window - 1 :], np.int64)
-        if matched < len(tokens):
-            automaton.add(tokens, least)
+        # What a run's windows first belong to is settled once it was streamed: later runs are of later documents.
+        first = known.get(words.tobytes())
+        if first is None:
+            tokens = words.tolist()
+            found = automaton.firsts(tokens, window, None)
+            if None in found:
+                automaton.add(tokens, least)
+            first = np.array([least if f is None else f for f in found], np.int64)
+            known[words.tobytes()] = first
         for (doc, start), own in zip(places.tolist(), ids.tolist(), strict=True):
             earlier = np.flatnonzero(first < own)
             if not len(earlier):
@@ -287,15 +293,15 @@ def dedup_passages(
         F.encode(F.col(text_col), "UTF-8").alias("text"),
         F.pmod(F.xxhash64(F.col(id_col), text_key(text_col)), F.lit(chunks)).cast("int").alias("chunk"),
     ).repartition("chunk")
-    asks = placed.groupBy("chunk").applyInArrow(lambda t: ask(t, window, ANCHOR, routes), DDL["ask"])
-    answers = asks.groupBy("route").applyInArrow(answer, DDL["answer"])
+    asks = placed.groupBy("chunk").applyInArrow(lean(lambda t: ask(t, window, ANCHOR, routes)), DDL["ask"])
+    answers = asks.groupBy("route").applyInArrow(lean(answer), DDL["answer"])
     runs = (
         placed.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(lambda t, a: segments(t, a, window, ANCHOR, shards), DDL["segment"])
+        .applyInArrow(lean(lambda t, a: segments(t, a, window, ANCHOR, shards)), DDL["segment"])
     )
-    spans = runs.groupBy("shard").applyInArrow(lambda t: match(t, window), DDL["covered"])
-    done = placed.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(cut, DDL["cut"])
+    spans = runs.groupBy("shard").applyInArrow(lean(lambda t: match(t, window)), DDL["covered"])
+    done = placed.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(lean(cut), DDL["cut"])
     return done.select(
         F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col),
         "n_words",
