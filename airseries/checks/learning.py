@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from airseries.checks.fixture import AQI, BAND, FILLED, K, R, filled, raw_readings, readings, table
 from airseries.checks.registry import query, r6, rounded
 from airseries.checks.sources import scratch_database
-from airseries.functions.bands import COARSE_BANDS, COARSE_CODES, band, encode_labels, piecewise
+from airseries.functions.bands import COARSE_BANDS, COARSE_CODES, ROLE_CODES, band, encode_labels, piecewise
 from airseries.operators import metrics, models
 from airseries.operators.clean import drop_missing
+from airseries.operators.columns import PLAYER_SKILLS
 from airseries.operators.encode import assemble, label_indexer, label_names
 from airseries.operators.one_vs_rest import (
     add_scores,
@@ -25,6 +26,7 @@ from airseries.operators.runs import load_model, save_model
 from airseries.operators.sampling import hash_split, temporal_split, time_cut
 from airseries.operators.temporal import rolling_mean, with_row_frames
 from airseries.plans.readings import FEATURES, build_features, prepare
+from airseries.plans.roles import TOP_CLUBS, role_vectors
 from airseries.plans.training import one_vs_rest, train_and_score
 from airseries.session import stage, stage_path
 from airseries.sources.sinks import write_checked
@@ -417,3 +419,58 @@ def ovr_lasso_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     found = one_vs_rest(hash_split(df, "vec_id"), classes)
     names = [f"e{i}" for i in range(64)]
     return rounded(linear_importance(found.models, names, 15))
+
+
+@query(
+    "role_vectors",
+    """WITH p AS (SELECT vec_id, embedding AS e, CASE WHEN label = 0 THEN 'GK' WHEN label IN (1, 2) THEN 'DEF'
+        WHEN label IN (3, 4) THEN 'MID' WHEN label IN (5, 6, 7) THEN 'OFF' END AS role
+        FROM embeddings WHERE vec_id % 3 <> 0)
+    SELECT role, CASE role WHEN 'GK' THEN 0.0e0 WHEN 'DEF' THEN 1.0e0 WHEN 'MID' THEN 2.0e0 ELSE 3.0e0 END AS label,
+        count(*) AS n, round(avg(CAST(e[3] AS DOUBLE)) + 1e-9, 6) AS heading,
+        round(avg(CASE WHEN vec_id % 2 = 0 THEN CAST(e[30] AS DOUBLE) ELSE 0 END) + 1e-9, 6) AS diving
+    FROM p WHERE role IS NOT NULL GROUP BY role""",
+)
+def role_path(spark: SparkSession, sf: str) -> DataFrame:
+    # Vectors seen as players: a third plays for clubs not listed, two labels have no role, half the
+    # players have no value for one skill.
+    e, v = F.col("embedding"), F.col("vec_id")
+    clubs = F.array(*[F.lit(c) for c in TOP_CLUBS])
+    positions = F.array(*[F.lit(x) for x in ("GK", "CB", "LB", "CDM", "CM", "ST", "CAM", "LW", "SUB", None)])
+    skills = {name: e[i].cast("double") for i, name in enumerate(PLAYER_SKILLS)}
+    skills["GK Diving"] = F.when(v % 2 == 0, skills["GK Diving"])
+    players = table(spark, sf, "embeddings").select(
+        F.when(v % 3 != 0, clubs[(v % len(TOP_CLUBS)).cast("int")]).otherwise("Elsewhere").alias("Club"),
+        positions[F.col("label")].alias("BP"),
+        *[c.alias(name) for name, c in skills.items()],
+    )
+    vectors, names = role_vectors(players)
+    x = vector_to_array("features")
+    return rounded(
+        vectors.groupBy(F.col("RoleGroup").alias("role"), "label").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg(x[names.index("Heading_Accuracy")]).alias("heading"),
+            F.avg(x[names.index("GK_Diving")]).alias("diving"),
+        )
+    )
+
+
+@query("role_classes")
+def role_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """One-vs-rest on role vectors: the metrics of the held-out players."""
+    e = F.col("embedding")
+    players = table(spark, sf, "embeddings").select(
+        "vec_id",
+        F.lit(TOP_CLUBS[0]).alias("Club"),
+        F.array(*[F.lit(x) for x in ("GK", "CB", "LB", "CDM", "CM", "ST", "CAM", "LW", "RW", "RB")])[
+            F.col("label")
+        ].alias("BP"),
+        *[e[i].cast("double").alias(name) for i, name in enumerate(PLAYER_SKILLS)],
+    )
+    vectors, _ = role_vectors(players)
+    # The vectors carry no id; a hash of their skills splits them the same way on every run.
+    key = F.xxhash64(vector_to_array("features"))
+    split = vectors.select("label", "features", F.when(F.pmod(key, F.lit(5)) < 4, "train").otherwise("test").alias("split"))
+    found = one_vs_rest(split, list(ROLE_CODES))
+    measured = metrics.classification_metrics(found.scored, "label", "prediction")
+    return rounded(measured.select(F.lit(found.grid.reg).alias("reg"), "*"))
