@@ -93,7 +93,8 @@ def bucket_counts(
     ids = trusted.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
     marked = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .join(ids.withColumn("target", F.lit(1)), "id", "left")
+        # Always by shuffle: trusted ids grow with the corpus, so they are not broadcast at any size.
+        .join(ids.withColumn("target", F.lit(1)).hint("merge"), "id", "left")
         .select("target", hashes_of(words_of(F.col("text"))).alias("hashes"))
     )
     return (
