@@ -124,7 +124,7 @@ def judge_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     buckets: int = 1 << 14,
-    threshold: float = -0.25,
+    threshold: float = -0.15,
     min_words: int = 20,
     max_repeat_percent: int = 30,
     window: int = 8,
