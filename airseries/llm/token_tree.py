@@ -19,22 +19,23 @@ def piece_starts(text: bytes) -> np.ndarray:
 
 
 def _levels(leaves: np.ndarray) -> list[np.ndarray]:
+    """Sums of pairs, of pairs of pairs and so on; each level but the root has an even length."""
     levels = [leaves.astype(np.int64)]
     while len(levels[-1]) > 1:
-        below = levels[-1]
-        if len(below) % 2:
-            below = np.append(below, 0)
-        levels.append(below[::2] + below[1::2])
+        if len(levels[-1]) % 2:
+            levels[-1] = np.append(levels[-1], 0)
+        levels.append(levels[-1][::2] + levels[-1][1::2])
     return levels
 
 
 class TokenTree:
-    """Leaves are pieces in order; a leaf that was edited holds the tree of its new pieces."""
+    """Leaves are pieces in order; a leaf that was edited holds the pieces that came in its place."""
 
     def __init__(self, sizes: np.ndarray, counts: np.ndarray) -> None:
+        self.n_leaves = len(sizes)
         self.bytes = _levels(sizes)
         self.tokens = _levels(counts)
-        self.inner: dict[int, TokenTree] = {}
+        self.inner: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     @property
     def n_bytes(self) -> int:
@@ -44,37 +45,47 @@ class TokenTree:
     def n_tokens(self) -> int:
         return int(self.tokens[-1].sum())
 
-    def find(self, place: int) -> tuple[int, int]:
-        """The leaf that holds the byte at ``place`` (at the end: one past the last leaf), and its start."""
-        if place >= self.n_bytes:
-            return len(self.bytes[0]), self.n_bytes
-        leaf = start = 0
+    def find(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The leaves that hold the bytes at ``places``, and their starts; at the end, one past the last leaf."""
+        leaf, start = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        inside = np.minimum(places, self.n_bytes - 1)
         for level in reversed(self.bytes[:-1]):
             leaf *= 2
-            if place >= start + level[leaf]:
-                start += int(level[leaf])
-                leaf += 1
-        return leaf, start
-
-    def replace(self, first: int, last: int, new: TokenTree) -> None:
-        """Put ``new`` in the place of leaves first to last - 1; sums change along their paths only."""
-        for levels, total in ((self.bytes, new.n_bytes), (self.tokens, new.n_tokens)):
-            levels[0][first:last] = 0
-            levels[0][first] = total
-            low, high = first, last - 1
-            for below, level in zip(levels, levels[1:], strict=False):
-                low, high = low // 2, high // 2
-                for node in range(low, high + 1):
-                    level[node] = below[2 * node : 2 * node + 2].sum()
-        for leaf in range(first, last):
-            self.inner.pop(leaf, None)
-        self.inner[first] = new
+            left = level[leaf]
+            right = inside >= start + left
+            start += np.where(right, left, 0)
+            leaf += right
+        end = places >= self.n_bytes
+        return np.where(end, self.n_leaves, leaf), np.where(end, self.n_bytes, start)
+
+    def replace(self, regions: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
+        """For each (first, last, sizes, counts): these pieces in the place of leaves first to last - 1.
+
+        Regions do not meet. Sums change along the paths of their leaves only.
+        """
+        if not self.n_leaves:
+            for _, _, sizes, counts in regions:
+                self.__init__(sizes, counts)
+            return
+        for first, last, sizes, counts in regions:
+            for leaf in range(first, last):
+                self.inner.pop(leaf, None)
+            self.inner[first] = (sizes, counts)
+            self.bytes[0][first:last] = 0
+            self.tokens[0][first:last] = 0
+            self.bytes[0][first] = sizes.sum()
+            self.tokens[0][first] = counts.sum()
+        touched = np.concatenate([np.arange(first, last) for first, last, *_ in regions])
+        for depth in range(1, len(self.bytes)):
+            touched = np.unique(touched // 2)
+            for levels in (self.bytes, self.tokens):
+                below = levels[depth - 1]
+                levels[depth][touched] = below[2 * touched] + below[2 * touched + 1]
 
     def leaves(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes and tokens of all pieces, edited ones included, in order."""
         sizes, counts, at = [], [], 0
-        for leaf, tree in sorted(self.inner.items()):
-            own = tree.leaves()
+        for leaf, own in sorted(self.inner.items()):
             sizes += [self.bytes[0][at:leaf], own[0]]
             counts += [self.tokens[0][at:leaf], own[1]]
             at = leaf + 1
@@ -84,11 +95,14 @@ class TokenTree:
 
     def pack(self) -> bytes:
         """The leaves as bytes, one per number unless one is above 255; inner sums follow from them."""
-        sizes, counts = self.leaves()
-        wide = max(sizes.max(initial=0), counts.max(initial=0)) > 255
-        return bytes([int(wide)]) + np.concatenate([sizes, counts]).astype(np.uint32 if wide else np.uint8).tobytes()
+        return pack_leaves(*self.leaves())
 
     @classmethod
     def unpack(cls, packed: bytes) -> TokenTree:
         both = np.frombuffer(packed, np.uint32 if packed[0] else np.uint8, offset=1)
         return cls(both[: len(both) // 2], both[len(both) // 2 :])
+
+
+def pack_leaves(sizes: np.ndarray, counts: np.ndarray) -> bytes:
+    wide = max(sizes.max(initial=0), counts.max(initial=0)) > 255
+    return bytes([int(wide)]) + np.concatenate([sizes, counts]).astype(np.uint32 if wide else np.uint8).tobytes()
