@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
-from airseries.llm.common import schema_of
+from airseries.llm.common import release_memory, schema_of
 from airseries.session import stage_path
 
 #: Chunks of one task are numbered from its partition's number times this.
@@ -42,6 +42,7 @@ def in_chunks(docs: DataFrame, chunk_bytes: int, **columns: Column) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, "chunk"]
             )
+            release_memory()
 
     spark = docs.sparkSession
     name = f"chunks_{uuid.uuid4().hex}"

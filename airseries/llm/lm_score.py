@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from airseries.llm import context_tree as ct
 from airseries.llm.chunks import in_chunks
+from airseries.llm.common import lean, release_memory
 from airseries.session import stage
 
 GRAMS, WORDS = 0, 1
@@ -337,8 +338,8 @@ def language_scores(
     )
     spark = docs.sparkSession
     routes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * placed.select("chunk").distinct().count())
-    asks = placed.groupBy("chunk").applyInArrow(lambda table: asked(table, depth, routes), ASKED_DDL)
-    gather = asks.groupBy("route").applyInArrow(lambda table: gathered(table, depth), ROUTE_DDL)
+    asks = placed.groupBy("chunk").applyInArrow(lean(lambda table: asked(table, depth, routes)), ASKED_DDL)
+    gather = asks.groupBy("route").applyInArrow(lean(lambda table: gathered(table, depth)), ROUTE_DDL)
     by_route = stage(gather, "routes")
     n_train, n_distinct = by_route.agg(
         F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_distinct"), F.lit(0))
@@ -357,12 +358,13 @@ def language_scores(
         for batch in batches:
             for row in range(batch.num_rows):
                 yield answered({n: batch.column(n)[row].as_py() for n in batch.schema.names}, depth, shared.value)
+            release_memory()
 
     answers = by_route.select("chunks", "kinds", "keys", "counts").mapInArrow(answer, ANSWERED_DDL)
     done = (
         placed.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(lambda d, a: scored(d, a, depth, n_train, n_distinct), SCORED_DDL)
+        .applyInArrow(lean(lambda d, a: scored(d, a, depth, n_train, n_distinct)), SCORED_DDL)
     )
     return done.select(
         F.col("id").alias(id_col),
