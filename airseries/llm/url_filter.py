@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from airseries.llm.common import lower_ascii
 
 
+def _after_scheme(url: Column) -> Column:
+    """What follows the first ``://``; empty if there is none."""
+    at = F.instr(url, "://")
+    return F.when(at > 0, F.substr(url, at + 3)).otherwise("")
+
+
 def host_of(url: Column) -> Column:
     """What follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case."""
-    return lower_ascii(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
+    return lower_ascii(F.regexp_extract(_after_scheme(url), r"^[^/?#]*", 0))
 
 
 def path_of(url: Column) -> Column:
     """What follows the host up to ``?``, ``#`` or the end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
 
 
 def rules_frame(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
