@@ -304,7 +304,7 @@ def language_scores(
     train: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    depth: int = 5,
+    depth: int = 6,
     chunk_bytes: int = 8 << 20,
 ) -> DataFrame:
     """Log10 probability of every text by a context tree learned from the rows where ``train`` holds.
@@ -377,7 +377,7 @@ def language_scores(
     )
 
 
-def document_scores(docs: DataFrame) -> DataFrame:
+def document_scores(docs: DataFrame, depth: int = 5) -> DataFrame:
     """Every document; the tenth whose crc32 of the id ends in zero is not learned from."""
     number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return language_scores(docs, train=number % 10 != 0)
+    return language_scores(docs, train=number % 10 != 0, depth=depth)

@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.document_scores(table(spark, sf_dir, "documents"))
+    return lm_score.document_scores(table(spark, sf_dir, "documents"), depth=6)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
