@@ -7,7 +7,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airseries.llm import decontaminate, line_dedup, lm_score, packing, quality_model, quality_rules, simhash, sql, substring_dedup, token_counts, url_filter
+from airseries.llm import (
+    alignment,
+    decontaminate,
+    hard_negatives,
+    line_dedup,
+    lm_score,
+    packing,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    simhash,
+    sql,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
 from airseries.llm.common import reach_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +68,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(table(spark, sf_dir, "documents"))
+
+
 def _reaching(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +101,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_secret_scans": op12_secret_scans,
+        "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
     return {name: _reaching(query) for name, query in registered.items()}
 
@@ -84,4 +114,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filters": sql.URL_FILTERS,
         "op4_benchmark_decontamination": sql.DECONTAMINATION,
         "op10_line_dedup": sql.LINE_DEDUP,
+        "op11_hard_negatives": sql.HARD_NEGATIVES,
     }

@@ -103,3 +103,27 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(coalesce(gone,
     list_filter(words, lambda w, i: NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256
 FROM doc_words d LEFT JOIN removed r ON d.doc_id = r.doc_id
 """
+
+HARD_NEGATIVES = r"""
+WITH whole AS (
+  SELECT row_number() OVER () AS n, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.n AS a_n, a.vec_id AS anchor_id, r.n AS r_n, r.vec_id AS other_id, a.label = r.label AS same,
+    list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM whole a JOIN whole r ON a.n <> r.n WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT * FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a_n ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  row_number() OVER (PARTITION BY p.a_n, p.r_n ORDER BY s.score DESC, s.other_id)::INTEGER AS rank,
+  s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON p.a_n = s.a_n AND NOT s.same
+WHERE 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
