@@ -116,10 +116,10 @@ def rolling_by_station(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("rolling_by_station_blocks", _BY_STATION)
 def rolling_by_station_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    # Blocks of a few rows cut every series, and frames reach over their edges.
+    # Small tiles cut the series, and frames reach over their edges.
     frames = {"pm_6": rolling_mean("pm", 6), "lag_2": lag("pm", 2)}
     df = filled(spark, sf).select("event_id", "ts", "station", "pm")
-    out = with_row_frames(df, frames, ORDER, by=["station"], rows_per_block=64)
+    out = with_row_frames(df, frames, ORDER, by=["station"], rows_per_tile=1000)
     return rounded(out.select("event_id", "station", *frames))
 
 

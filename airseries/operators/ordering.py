@@ -9,12 +9,13 @@ other, and the row numbers follow from the partition sizes.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airseries.operators.columns import quoted
-from airseries.session import stage
+from airseries.session import stage, stage_buckets
 
 TILE, POS, INDEX = "_tile", "_pos", "_index"
 
@@ -30,27 +31,52 @@ def tile_count(rows: int, partitions: int, rows_per_tile: int = ROWS_PER_TILE) -
     return max(partitions, -(-rows // rows_per_tile))
 
 
-def sorted_tiles(df: DataFrame, order: Sequence[str], rows_per_tile: int = ROWS_PER_TILE) -> DataFrame:
+def sorted_tiles(
+    df: DataFrame, order: Sequence[str], rows_per_tile: int = ROWS_PER_TILE, staged: bool = False
+) -> DataFrame:
     """Range-sort by ``order`` (which must be unique) and keep tile and position of each row.
 
-    A tile is one sorted partition; tiles follow each other in order. The result
-    is staged, because a second evaluation could draw other range bounds. The rows
-    are counted first, so a tile has about ``rows_per_tile`` rows at most whatever
-    ``spark.sql.shuffle.partitions`` says.
+    A tile is one sorted partition; tiles follow each other in order. The input is
+    staged, so that counting, range sampling and sorting read it from there instead of evaluating
+    it three times (``staged``: it already reads a staged table). The rows are counted before the sort, so a tile has about ``rows_per_tile`` rows at most
+    whatever ``spark.sql.shuffle.partitions`` says. The result is staged too,
+    because a second evaluation could draw other range bounds, and bucketed by tile: windows
+    over a tile read it without another shuffle.
     """
-    number = F.monotonically_increasing_id()
     keys = [F.col(quoted(c)) for c in order]
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = tile_count(df.count(), partitions, rows_per_tile)
-    ranged = df.repartitionByRange(tiles, *keys).sortWithinPartitions(*keys)
-    staged = stage(ranged.withColumn("_number", number), "sorted")
+    spark = df.sparkSession
+    source = df if staged else stage(df, "unsorted")
+    tiles = tile_count(source.count(), int(spark.conf.get("spark.sql.shuffle.partitions")), rows_per_tile)
+    number = F.monotonically_increasing_id()
     mask = (1 << _POSITION_BITS) - 1
-    return staged.withColumns(
+    ranged = source.repartitionByRange(tiles, *keys).sortWithinPartitions(*keys).withColumn("_number", number)
+    placed = ranged.withColumns(
         {
             TILE: F.shiftright("_number", _POSITION_BITS),
             POS: F.col("_number").bitwiseAND(F.lit(mask)),
         }
-    ).drop("_number")
+    )
+    # Tiles meet in buckets by hash; twice as many buckets keep most of them apart.
+    return stage_buckets(placed.drop("_number"), "sorted", [TILE], 2 * tiles)
+
+
+@dataclass(frozen=True)
+class Tile:
+    """A tile that holds rows: its number, the rows before it, and its rows."""
+
+    number: int
+    start: int
+    size: int
+
+
+def tile_list(tiles: DataFrame) -> list[Tile]:
+    """All tiles that hold rows, in order: one entry for each sort partition."""
+    sizes = tiles.groupBy(TILE).agg(F.count(F.lit(1)).alias("n")).orderBy(TILE).collect()
+    out, start = [], 0
+    for number, n in sizes:
+        out.append(Tile(number, start, n))
+        start += n
+    return out
 
 
 def running_start(totals: DataFrame, *measures: str) -> DataFrame:

@@ -10,24 +10,20 @@ from pyspark.sql import functions as F
 
 from airseries.operators.columns import quoted
 from airseries.operators.ordering import (
-    INDEX,
     POS,
+    ROWS_PER_TILE,
     TILE,
-    index_tiles,
+    Tile,
     running_start,
     sorted_tiles,
+    tile_list,
 )
-
-# Rows of one block. Small enough for the window operator's in-memory buffer,
-# large enough that the rows copied between blocks are well below one percent.
-ROWS_PER_BLOCK = 4096
+from airseries.session import stage
 
 # Binary orders of magnitude that share one exact running sum. A double has 53
 # digits, 2^40 rows add 40 more, and a decimal holds 126.
 SUM_BITS = 32
 
-_BLOCK = "_block"
-
 
 @dataclass(frozen=True)
 class RowFrame:
@@ -65,32 +61,63 @@ def with_row_frames(
     frames: Mapping[str, RowFrame],
     order: Sequence[str],
     by: Sequence[str] = (),
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_tile: int = ROWS_PER_TILE,
 ) -> DataFrame:
     """Adds one column per row frame.
 
     ``by + order`` must be unique, else ties would make the result undefined.
-    The total order is cut into blocks, with or without a key and whatever the
-    size of a series; each block also gets the last rows of the block before it,
-    as many as the longest look-back, so every frame is whole. All frames share
-    one sort and one window operator.
+    The total order is cut into sorted tiles, with or without a key and whatever the
+    size of a series. A row whose longest look-back lies in its tile takes its frames there,
+    without a shuffle. The first rows of each tile are worked on apart, together with
+    copies of the rows before them; only these rows move. All frames share one sort.
     """
     if not frames:
         return df
     keys = [F.col(quoted(c)) for c in by]
     lookback = max(f.lookback for f in frames.values())
-    size = max(rows_per_block, lookback, 1)
-    indexed = index_tiles(sorted_tiles(df, [*by, *order]))
-    own = F.expr(f"{INDEX} div {size}")
-    halo = F.col(INDEX) % size >= size - lookback
-    blocks = F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))
-    window = Window.partitionBy(_BLOCK, *keys).orderBy(INDEX)
-    return (
-        indexed.withColumn(_BLOCK, F.explode(blocks))
-        .withColumns({name: f.build(window) for name, f in frames.items()})
-        .filter(F.col(_BLOCK) == own)
-        .drop(_BLOCK, INDEX)
+    tiles = sorted_tiles(df, [*by, *order], rows_per_tile)
+
+    def framed(rows: DataFrame, part: str, at: str) -> DataFrame:
+        window = Window.partitionBy(part, *keys).orderBy(at)
+        return rows.withColumns({name: f.build(window) for name, f in frames.items()})
+
+    names = [*df.columns, *frames]
+    inside = framed(tiles, TILE, POS)
+    held = tile_list(tiles)
+    if lookback == 0 or len(held) < 2:
+        return inside.select(*[quoted(c) for c in names])
+    # One row per sort partition.
+    edges = F.broadcast(tiles.sparkSession.createDataFrame(_edges(held, lookback), EDGES))
+    index = F.col("_start") + F.col(POS)
+    later = F.transform(
+        F.filter("_later", lambda t: index >= t.start - lookback),
+        lambda t: F.struct(t.tile.alias("_edge"), F.lit(False).alias("_own")),
     )
+    own = F.array(F.struct(F.col(TILE).alias("_edge"), F.lit(True).alias("_own")))
+    first = (F.col(POS) < lookback) & (F.col("_start") > 0)
+    copies = F.when(first, F.concat(own, later)).otherwise(later)
+    near = tiles.join(edges, TILE).where(first | (F.col(POS) >= F.col("_size") - lookback))
+    apart = near.withColumn("_at", index).select("*", F.inline(copies))
+    whole = inside.where((F.col(POS) >= lookback) | (F.col(TILE) == held[0].number))
+    return whole.select(*[quoted(c) for c in names]).unionByName(
+        framed(apart, "_edge", "_at").where("_own").select(*[quoted(c) for c in names])
+    )
+
+
+EDGES = f"{TILE} long, _start long, _size long, _later array<struct<tile: long, start: long>>"
+
+
+def _edges(tiles: Sequence[Tile], lookback: int) -> list[tuple]:
+    """Each tile with the later tiles whose first rows look back into it."""
+    out = []
+    for i, tile in enumerate(tiles):
+        later = []
+        for other in tiles[i + 1 :]:
+            if other.start - lookback >= tile.start + tile.size:
+                break
+            later.append((other.number, other.start))
+        out.append((tile.number, tile.start, tile.size, later))
+    return out
 
 
 def magnitudes(df: DataFrame, value: Column) -> list[int]:
@@ -130,7 +157,9 @@ def range_mean(
     keys = [F.col(quoted(c)) for c in by]
     cols = [*keys, F.col(quoted(ts)), F.col(quoted(row_id))]
     number = F.col(quoted(name)).cast("double")
-    value = F.when(F.abs(number) < F.lit(float("inf")), number)
+    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+    value = F.col("_value")
+    df = stage(df.select(*cols, finite.alias("_value")), "values")
     groups = magnitudes(df, value)
 
     # Marks sort before (start) or after (end) the rows with the same time.
@@ -160,7 +189,7 @@ def range_mean(
         record(end, at, False),
     )
     measures = ["_c", *[f"_w{i}" for i in range(len(groups))]]
-    tiles = sorted_tiles(df.select(*cols, F.inline(records)), [*by, "_at", "_kind", row_id])
+    tiles = sorted_tiles(df.select(*cols, F.inline(records)), [*by, "_at", "_kind", row_id], staged=True)
     # Differences are taken within one series only, so the running sums may go
     # on from one series to the next; each window below holds one tile.
     sums = tiles.groupBy(TILE).agg(*[F.sum(m).alias(m) for m in measures])

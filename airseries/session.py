@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,8 +34,8 @@ def scale_settings(
     """Settings for a given input size, so that a shuffle task holds at most about ``task_bytes``.
 
     ``expansion`` is the size of the shuffled rows relative to the files read.
-    Sorted tiles (see ``ordering``) are cut by the number of shuffle partitions,
-    so this is what bounds them. AQE joins partitions that turn out small.
+    AQE joins partitions that turn out small. Sorted tiles (see ``ordering``) are at
+    least as many as the shuffle partitions; their rows are bounded besides.
     """
     partitions = max(200, int(input_bytes * expansion / task_bytes) + 1)
     return {
@@ -75,22 +77,24 @@ def stage_path(spark: SparkSession, label: str) -> str:
 def drop_stages(spark: SparkSession) -> bool:
     """Delete what this application staged; DataFrames built on it can not be read any more.
 
-    Databases and tables of the session's catalog that lie in the folder go with it.
+    Databases and tables of the session's catalog that lie in the folder go with it, whatever database holds them.
     """
     home = _stage_home(spark)
     for database in spark.catalog.listDatabases():
         if home in database.locationUri:
             spark.sql(f"DROP DATABASE IF EXISTS `{database.name}` CASCADE")
-    for table in spark.catalog.listTables("default"):
-        if not table.isTemporary and home in _location(spark, table.name):
-            spark.sql(f"DROP TABLE IF EXISTS default.`{table.name}`")
+            continue
+        for table in spark.catalog.listTables(database.name):
+            name = f"`{database.name}`.`{table.name}`"
+            if not table.isTemporary and home in _location(spark, name):
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.delete(path, True)
 
 
 def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED default.`{table}`").filter("col_name = 'Location'").collect()
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
     return rows[0].data_type if rows else ""
 
 
@@ -105,3 +109,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_buckets(df: DataFrame, label: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Like :func:`stage`, as a table bucketed by ``by``: windows and joins on these columns read it without a shuffle.
+
+    The catalog holds no more buckets than 100,000 a table.
+    """
+    spark = df.sparkSession
+    path = stage_path(spark, label)
+    name = f"{label}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(min(buckets, 100_000), *by).option("path", path)
+    writer.saveAsTable(name)
+    return spark.table(name)

@@ -68,10 +68,10 @@ def plain(df, by):
 
 
 @pytest.mark.parametrize("by", [(), ("station",)])
-@pytest.mark.parametrize("rows_per_block", [1, 8, 13, 100_000])
-def test_blocks_equal_one_partition(spark, by, rows_per_block):
+@pytest.mark.parametrize("rows_per_tile", [1, 8, 13, 100_000])
+def test_tiles_equal_one_partition(spark, by, rows_per_tile):
     df = series(spark, 400)
-    got = with_row_frames(df, FRAMES, ["ts", "id"], by, rows_per_block)
+    got = with_row_frames(df, FRAMES, ["ts", "id"], by, rows_per_tile)
     assert got.columns == [*df.columns, *FRAMES]
     assert as_set(got, "id", *FRAMES) == as_set(plain(df, by), "id", *FRAMES)
     assert got.count() == 400
@@ -79,7 +79,7 @@ def test_blocks_equal_one_partition(spark, by, rows_per_block):
 
 def test_one_hot_series(spark):
     df = series(spark, 200).withColumn("station", F.when(F.col("id") < 190, 1).otherwise(2))
-    got = with_row_frames(df, FRAMES, ["ts", "id"], ["station"], rows_per_block=16)
+    got = with_row_frames(df, FRAMES, ["ts", "id"], ["station"], rows_per_tile=16)
     assert as_set(got, "id", *FRAMES) == as_set(plain(df, ["station"]), "id", *FRAMES)
 
 
@@ -92,11 +92,11 @@ def test_no_single_partition(spark):
     got = with_row_frames(df, FRAMES, ["ts", "id"])
     got.collect()
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("Window [") == 2  # the frames, and the running start over the tiles
-    assert "hashpartitioning(_block" in plan
-    # Only the tile sizes meet in one partition.
-    single = [line for line in plan.splitlines() if "Exchange SinglePartition" in line]
-    assert len(single) == 1
+    # The frames inside the tiles read them where they lie; only the rows at the edges of tiles move.
+    assert plan.count("Window [") == 2
+    assert "hashpartitioning(_edge" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange SinglePartition" not in plan
 
 
 def test_empty_and_one_row(spark):
@@ -119,16 +119,16 @@ def test_row_index(spark):
 @given(st.integers(1, 60), st.integers(1, 9), st.integers(0, 10_000))
 def test_lag_twice(spark, n, k, seed):
     df = series(spark, n, seed)
-    once = with_row_frames(df, {"a": lag("v", k)}, ["ts", "id"], rows_per_block=7)
-    twice = with_row_frames(once, {"b": lag("a", k)}, ["ts", "id"], rows_per_block=5)
-    direct = with_row_frames(df, {"b": lag("v", 2 * k)}, ["ts", "id"], rows_per_block=11)
+    once = with_row_frames(df, {"a": lag("v", k)}, ["ts", "id"], rows_per_tile=7)
+    twice = with_row_frames(once, {"b": lag("a", k)}, ["ts", "id"], rows_per_tile=5)
+    direct = with_row_frames(df, {"b": lag("v", 2 * k)}, ["ts", "id"], rows_per_tile=11)
     assert as_set(twice, "id", "b") == as_set(direct, "id", "b")
 
 
 def test_own_frame(spark):
     df = series(spark, 120)
     top = RowFrame(3, lambda w: F.max("v").over(w.rowsBetween(-3, 0)))
-    got = with_row_frames(df, {"top": top}, ["ts", "id"], rows_per_block=10)
+    got = with_row_frames(df, {"top": top}, ["ts", "id"], rows_per_tile=10)
     w = Window.orderBy("ts", "id").rowsBetween(-3, 0)
     assert as_set(got, "id", "top") == as_set(df.withColumn("top", F.max("v").over(w)), "id", "top")
 
