@@ -377,15 +377,15 @@ def ovr_lasso_importance(spark: SparkSession, sf: str) -> DataFrame:
     p AS (SELECT reg, label, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END AS guess FROM s),
     tally AS (SELECT reg, t.c, count(*) FILTER (label = t.c) AS actual, count(*) FILTER (guess = t.c) AS guessed,
               count(*) FILTER (label = t.c AND guess = t.c) AS hit
-          FROM p, (VALUES (0), (1), (2)) t(c) GROUP BY reg, t.c)
-    SELECT CAST(reg AS DOUBLE) AS reg, round(sum(actual * CASE WHEN hit > 0 THEN 2.0e0 * hit / (actual + guessed) ELSE 0 END)
-        / sum(actual) + 1e-9, 6) AS f1 FROM tally GROUP BY reg""",
+          FROM p, (VALUES (0), (1), (2)) t(c) GROUP BY reg, t.c),
+    scored AS (SELECT CAST(reg AS DOUBLE) AS reg, sum(actual * CASE WHEN hit > 0 THEN 2.0e0 * hit / (actual + guessed) ELSE 0 END)
+        / sum(actual) AS f1 FROM tally GROUP BY reg)
+    SELECT reg, round(f1 + 1e-9, 6) AS f1, row_number() OVER (ORDER BY round(f1, 9) DESC, reg) = 1 AS chosen FROM scored""",
 )
 def ovr_lasso_grid(spark: SparkSession, sf: str) -> DataFrame:
     found = grid_search(_line_vectors(spark, sf), list(COARSE_CODES))
-    # One row per strength tried; the choice is the first of the best.
-    assert found.f1 == max(f1 for _, f1 in found.tried)
-    return rounded(spark.createDataFrame(found.tried, "reg double, f1 double"))
+    # One row per strength tried; the first of the best is chosen.
+    return rounded(found.table(spark).drop("place"))
 
 
 @query("ovr_lasso")

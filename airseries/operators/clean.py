@@ -75,15 +75,17 @@ def drop_warmup(df: DataFrame, *names: str) -> DataFrame:
 
 
 def dedup(df: DataFrame, keys: Sequence[str], keep_lowest: str) -> DataFrame:
-    """One row per key, the one with the lowest ``keep_lowest``.
+    """One row per key, the one with the lowest ``keep_lowest``; null is higher than any value.
 
-    Done as an aggregate, not as a ranking window: copies of a hot key are
+    Of rows equal in both the remaining columns decide, in their order, so the same row is kept on any
+    layout (maps have no order and are left out of it). Done as an aggregate, not as a ranking window: copies of a hot key are
     reduced before the shuffle, and no task has to hold or sort them.
     """
     rest = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(rest)])
-    kept = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
-        F.min_by(row, F.col(quoted(keep_lowest))).alias("_row")
-    )
+    ordered = [c for c in rest if c != keep_lowest and not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
+    lowest = F.col(quoted(keep_lowest))
+    order = F.struct(lowest.isNull().alias("n"), lowest.alias("k"), *[F.col(quoted(c)).alias(f"o{i}") for i, c in enumerate(ordered)])
+    kept = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.min_by(row, order).alias("_row"))
     fields = {c: F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(rest)}
     return kept.select(*[fields.get(c, F.col(quoted(c))) for c in df.columns])

@@ -7,10 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airseries.operators.lasso import Line, best_class, ovr_path
 from airseries.operators.metrics import classification_metrics
 from airseries.operators.models import _ranked
 
@@ -70,11 +72,18 @@ def predict_class(df: DataFrame, classes: Sequence[str], out: str = "prediction"
 
 @dataclass(frozen=True)
 class GridResult:
-    """Best strength, its F1, and the F1 of every strength tried."""
+    """Best strength, its F1, the F1 of every strength tried, and the lines of the best one."""
 
     reg: float
     f1: float
     tried: list[tuple[float, float]]
+    lines: dict[str, Line]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row per strength in the order tried, the chosen one marked."""
+        place = self.tried.index((self.reg, self.f1))
+        rows = [(i, reg, f1, i == place) for i, (reg, f1) in enumerate(self.tried)]
+        return spark.createDataFrame(rows, "place int, reg double, f1 double, chosen boolean")
 
 
 def grid_search(
@@ -82,24 +91,26 @@ def grid_search(
     classes: Sequence[str],
     grid: Sequence[float] = LASSO_GRID,
     validate: DataFrame | None = None,
+    features: str = "features",
     label: str = "label",
-    **fit_params: int | str,
 ) -> GridResult:
     """The strength with the best weighted F1; the first one wins a tie.
 
-    Scored on ``validate``, or on the training rows where none is given. The
-    fits read ``train`` many times, so it should be a staged or saved table.
+    Scored on ``validate``, or on the training rows where none is given. All strengths and classes are fitted from the
+    same moments of the training rows, and all strengths are scored in one pass: the
+    number of passes does not depend on the grid.
     """
-    tried = []
-    for reg in grid:
-        models = fit_ovr_lasso(train, classes, reg, label=label, **fit_params)
-        scored = predict_class(add_scores(train if validate is None else validate, models), classes)
-        tried.append((reg, float(classification_metrics(scored, label, "prediction").first()["f1"])))
-    best = tried[0]
-    for candidate in tried[1:]:
-        if candidate[1] > best[1]:
-            best = candidate
-    return GridResult(best[0], best[1], tried)
+    path = ovr_path(train, classes, grid, features, label)
+    x = vector_to_array(F.col(features))
+    scored = (train if validate is None else validate).select(F.col(label).alias("_label"), x.alias("_x"))
+    guesses = F.array(
+        *[F.struct(F.lit(i).alias("_place"), best_class(models, F.col("_x")).alias("_guess")) for i, models in enumerate(path)]
+    )
+    measured = classification_metrics(scored.select("_label", F.inline(guesses)), "_label", "_guess", by=["_place"])
+    by_place = {r["_place"]: float(r["f1"]) for r in measured.collect()}
+    tried = [(reg, by_place[i]) for i, reg in enumerate(grid)]
+    best = max(range(len(tried)), key=lambda i: (tried[i][1], -i))
+    return GridResult(*tried[best], tried, path[best])
 
 
 def linear_importance(

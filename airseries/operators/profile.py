@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from airseries.operators.clean import present
 from airseries.operators.columns import quoted
 from airseries.operators.quantiles import quantiles, quantiles_of
+from airseries.session import stage
 
 
 def null_census(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -68,7 +69,11 @@ def describe_numeric(
     The quantiles of all columns share their passes. Columns are numeric; for
     others see ``describe_columns``.
     """
-    found = quantiles_of(df, {c: [p for _, p in shares] for c in columns}) if shares else {}
+    found = {}
+    if shares:
+        # Staged once for the passes of the quantiles and the one of the other measures.
+        df = stage(df.select(*[F.col(quoted(c)) for c in dict.fromkeys(columns)]), "described")
+        found = quantiles_of(df, {c: [p for _, p in shares] for c in columns}, staged=True)
 
     def stats(name: str) -> Column:
         x = F.when(present(df, name), F.col(quoted(name)).cast("double"))
@@ -139,9 +144,9 @@ class Fences:
     upper: float | None
 
 
-def outlier_fences(df: DataFrame, name: str, k: float = 3.0) -> Fences:
+def outlier_fences(df: DataFrame, name: str, k: float = 3.0, staged: bool = False) -> Fences:
     """Fences of a column, from its exact quartiles."""
-    found = quantiles(df, name, [0.25, 0.5, 0.75])
+    found = quantiles(df, name, [0.25, 0.5, 0.75], staged=staged)
     if found[0] is None:
         return Fences(None, None, None, None, None)
     q1, median, q3 = map(float, found)
@@ -161,7 +166,8 @@ def flag_outliers(df: DataFrame, name: str, k: float = 3.0, out: str = "is_outli
 
 def outlier_report(df: DataFrame, name: str, k: float = 3.0) -> DataFrame:
     """One row: fences, rows outside and their percentage of all rows."""
-    fences = outlier_fences(df, name, k)
+    df = stage(df.select(quoted(name)), "values")
+    fences = outlier_fences(df, name, k, staged=True)
     counted = df.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(outside(name, fences)).alias("outliers")
     )

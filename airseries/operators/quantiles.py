@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from airseries.operators.clean import present
 from airseries.operators.columns import quoted
+from airseries.session import stage
 
 # Buckets per round and wanted span.
 BUCKETS = 1024
@@ -124,27 +125,29 @@ def rank(p: float, rows: int) -> int:
 
 
 def quantiles(
-    df: DataFrame, name: str, probabilities: Sequence[float], buckets: int = BUCKETS
+    df: DataFrame, name: str, probabilities: Sequence[float], buckets: int = BUCKETS, staged: bool = False
 ) -> list[Any]:
     """Exact quantiles of the present values of one column; see ``quantiles_of``."""
-    return quantiles_of(df, {name: probabilities}, buckets)[name]
+    return quantiles_of(df, {name: probabilities}, buckets, staged)[name]
 
 
 def quantiles_of(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], buckets: int = BUCKETS
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], buckets: int = BUCKETS, staged: bool = False
 ) -> dict[str, list[Any]]:
     """Exact quantiles of the present values of several columns.
 
     Integers, floats and decimals come back as such (decimals exactly), dates and
     times as text; ``None`` where a column has no value. One pass finds the bounds
     of all columns; each round is one pass over them, for all columns and ranks
-    that are still open.
+    that are still open. The passes read the wanted columns from a staged table, so what they
+    come from is evaluated once (``staged``: ``df`` already reads a staged table).
     """
     names = list(wanted)
     if not names:
         return {}
     columns = {name: _Values(df, name) for name in names}
     kept = df.select(*[F.col(quoted(c)) for c in names])
+    kept = kept if staged else stage(kept, "values")
     first = kept.agg(*[b for name in names for b in columns[name].bounds()]).first()
     found: dict[tuple[str, int], Any] = {}
     spans: dict[tuple[str, int], _Span] = {}
