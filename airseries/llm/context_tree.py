@@ -55,7 +55,8 @@ class Level:
         return np.exp(estimate(self.zeros, self.ones) - np.log(2) - self.weighted)
 
 
-def _grouped(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+def grouped(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and the sums of their values."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
@@ -72,7 +73,7 @@ def deepest_level(codes: np.ndarray, counts: np.ndarray) -> Level:
         keys.append(context | (np.uint64(1 << k) | (symbol >> np.uint64(8 - k))))
         zeros.append(np.where(bit == 0, counts, 0).astype(float))
         ones.append(np.where(bit == 1, counts, 0).astype(float))
-    keys, zeros, ones = _grouped(np.concatenate(keys), np.concatenate(zeros), np.concatenate(ones))
+    keys, zeros, ones = grouped(np.concatenate(keys), np.concatenate(zeros), np.concatenate(ones))
     return Level(keys, zeros, ones, estimate(zeros, ones))
 
 
@@ -80,7 +81,7 @@ def parent_sums(level: Level) -> tuple[np.ndarray, ...]:
     """Keys one byte shorter, with the sums of zeros, ones and log weighted probability of their children."""
     node = level.keys & np.uint64(255)
     keys = ((level.keys >> np.uint64(16)) << np.uint64(8)) | node
-    return _grouped(keys, level.zeros, level.ones, level.weighted)
+    return grouped(keys, level.zeros, level.ones, level.weighted)
 
 
 def mixed(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> Level:
@@ -96,15 +97,6 @@ def levels_down_to(codes: np.ndarray, counts: np.ndarray, depth: int, least: int
     return levels
 
 
-def top_levels(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray, depth: int) -> list[Level]:
-    """Levels from ``depth`` to the root, from the sums of the children of level ``depth``."""
-    order = np.argsort(keys)
-    levels = [mixed(keys[order], zeros[order], ones[order], children[order])]
-    for _ in range(depth):
-        levels.append(mixed(*parent_sums(levels[-1])))
-    return levels
-
-
 def log10_probability(codes: np.ndarray, levels: list[Level], depth: int) -> np.ndarray:
     """Log10 of the symbol's probability after its context, by all ``depth + 1`` levels, deepest first.
 

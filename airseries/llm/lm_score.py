@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 
 from airseries.llm import context_tree as ct
 from airseries.llm.chunks import in_chunks
-from airseries.llm.common import lean, release_memory
-from airseries.session import stage
+from airseries.llm.common import lean
+from airseries.session import stage, stage_buckets
 
 GRAMS, WORDS = 0, 1
-#: Contexts whose nearest bytes agree in so many bytes are worked on together.
+#: Hot contexts by their number of bytes, sorted.
+Hot = dict[int, np.ndarray]
+#: Contexts whose nearest bytes agree in so many bytes are worked on together; more bytes where so many are hot.
 SHARED = 2
+#: A context that precedes more than one in so many of all bytes is hot.
+HOT_SHARE = 256
 #: Bytes of text whose grams are held at once.
 PART = 1 << 20
 #: The key of the end token; no word is empty.
@@ -84,14 +88,66 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return own, np.bincount(where, np.concatenate(counts), len(own)).astype(np.int64)
 
 
-def routes_of(kind: int, keys: np.ndarray, depth: int, routes: int) -> np.ndarray:
-    """The route of a key: contexts with the same nearest bytes go together, words by hash."""
+def prefix_of(keys: np.ndarray, depth: int, size: int) -> np.ndarray:
+    """The ``size`` nearest context bytes of grams."""
+    return keys >> np.uint64(8 * (depth + 1 - size))
+
+
+def shared_bytes(keys: np.ndarray, depth: int, hot: Hot) -> np.ndarray:
+    """For each gram by how many nearest bytes it is worked on: one more than its longest hot context."""
+    sizes = np.full(len(keys), SHARED)
+    for size in sorted(hot):
+        sizes[(sizes == size) & np.isin(prefix_of(keys, depth, size), hot[size])] = size + 1
+    return sizes
+
+
+def routes_of(kind: int, keys: np.ndarray, depth: int, routes: int, hot: Hot) -> np.ndarray:
+    """The route of a key: contexts that are worked on together go together, words by hash."""
     if kind == GRAMS:
-        keys = keys >> np.uint64(8 * (depth + 1 - SHARED))
-        keys = (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+        sizes = shared_bytes(keys, depth, hot).astype(np.uint64)
+        keys = keys >> (np.uint64(8) * (np.uint64(depth + 1) - sizes))
+        keys = ((keys * np.uint64(8) + sizes) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
     return (keys % np.uint64(routes)).astype(np.int32)
 
 
+def hot_contexts(placed: DataFrame, depth: int) -> Hot:
+    """Contexts that precede more than one in HOT_SHARE of all bytes, from SHARED bytes up; fewer than HOT_SHARE a size.
+
+    One pass for each size, as long as there are hot ones. They decide only what is worked on together.
+    """
+    hot: Hot = {}
+    for size in range(SHARED, depth):
+        parents = hot.get(size - 1)
+
+        def count(batches: Iterator[pa.RecordBatch], size: int = size, parents: np.ndarray | None = parents) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(256 * (256 ** (SHARED - 1) if parents is None else len(parents)), np.int64)
+            for batch in batches:
+                for part in parts_of(normal_texts(pa.chunked_array([batch.column(0)]))):
+                    codes, _ = part_grams(part, size)
+                    codes = codes >> np.uint64(8)
+                    if parents is not None:
+                        upper = codes >> np.uint64(8)
+                        at = np.minimum(np.searchsorted(parents, upper), len(parents) - 1)
+                        codes = at[parents[at] == upper].astype(np.uint64) * np.uint64(256) + (
+                            codes[parents[at] == upper] & np.uint64(255)
+                        )
+                    total += np.bincount(codes.astype(np.int64), minlength=len(total))
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["place", "n"])
+
+        counted = placed.select("text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+        if size == SHARED:
+            least = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // HOT_SHARE
+        # Fewer than HOT_SHARE rows.
+        places = np.array([r.place for r in counted.where(F.col("n") > least).collect()], np.uint64)
+        if not len(places):
+            break
+        if parents is not None:
+            places = parents[places // np.uint64(256)] * np.uint64(256) + places % np.uint64(256)
+        hot[size] = np.sort(places)
+    return hot
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
     return np.diff(keys, prepend=np.uint64(0)).tobytes()
 
@@ -110,10 +166,8 @@ def unpack_counts(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
 
 
-def asked(table: pa.Table, depth: int, routes: int) -> pa.Table:
-    """What one chunk of documents asks of each route: its distinct keys, with their training counts."""
-    train = table.column("train").to_numpy()
-    texts = normal_texts(table.column("text"))
+def chunk_keys(texts: list[bytes], train: np.ndarray, depth: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The distinct grams and words of a chunk in rising order, with their training counts."""
     found = {GRAMS: ([], []), WORDS: ([], [])}
     for learn in (True, False):
         own = [t for t, x in zip(texts, train, strict=True) if x == learn]
@@ -127,16 +181,26 @@ def asked(table: pa.Table, depth: int, routes: int) -> pa.Table:
             found[WORDS][1].append(np.bincount(words.indices, minlength=len(words.dictionary)) * learn)
         found[WORDS][0].append(np.array([END_KEY], np.uint64))
         found[WORDS][1].append(np.array([len(own) * learn]))
-    rows = []
+    return {kind: summed(*both) for kind, both in found.items()}
+
+
+def by_route(kind: int, keys: np.ndarray, depth: int, routes: int, hot: Hot) -> list[tuple[int, np.ndarray]]:
+    """The routes of a chunk's keys, and the places of each route's keys in rising order."""
+    route = routes_of(kind, keys, depth, routes, hot)
+    order = np.argsort(route, kind="stable")
+    bounds = np.searchsorted(route[order], np.arange(routes + 1))
+    return [(r, order[bounds[r] : bounds[r + 1]]) for r in np.flatnonzero(np.diff(bounds)).tolist()]
+
+
+def asked(table: pa.Table, depth: int, routes: int, hot: Hot) -> pa.Table:
+    """What one chunk of documents asks of each route: its distinct keys, with their training counts."""
+    found = chunk_keys(normal_texts(table.column("text")), table.column("train").to_numpy(), depth)
     chunk = table.column("chunk")[0].as_py()
-    for kind, (parts, numbers) in found.items():
-        keys, counts = summed(parts, numbers)
-        route = routes_of(kind, keys, depth, routes)
-        order = np.argsort(route, kind="stable")
-        bounds = np.searchsorted(route[order], np.arange(routes + 1))
-        for r in np.flatnonzero(np.diff(bounds)).tolist():
-            chosen = order[bounds[r] : bounds[r + 1]]
-            rows.append((r, chunk, kind, pack_keys(keys[chosen]), pack_counts(counts[chosen])))
+    rows = [
+        (r, chunk, kind, pack_keys(keys[chosen]), pack_counts(counts[chosen]))
+        for kind, (keys, counts) in found.items()
+        for r, chosen in by_route(kind, keys, depth, routes, hot)
+    ]
     return pa.table(list(map(list, zip(*rows, strict=True))), schema=ASKED)
 
 
@@ -144,78 +208,99 @@ ASKED = pa.schema(
     [("route", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
 )
 ASKED_DDL = "route int, chunk long, kind int, keys binary, counts binary"
-ROUTE = pa.schema(
+NODES = pa.schema(
     [
-        ("chunks", pa.list_(pa.int64())),
-        ("kinds", pa.list_(pa.int32())),
-        ("keys", pa.list_(pa.binary())),
-        ("counts", pa.list_(pa.binary())),
         ("n_words", pa.int64()),
         ("n_distinct", pa.int64()),
+        ("bytes", pa.list_(pa.int32())),
         ("node", pa.list_(pa.int64())),
         ("zeros", pa.list_(pa.float64())),
         ("ones", pa.list_(pa.float64())),
         ("children", pa.list_(pa.float64())),
     ]
 )
-ROUTE_DDL = (
-    "chunks array<long>, kinds array<int>, keys array<binary>, counts array<binary>, n_words long,"
-    " n_distinct long, node array<long>, zeros array<double>, ones array<double>, children array<double>"
+NODES_DDL = (
+    "n_words long, n_distinct long, bytes array<int>, node array<long>, zeros array<double>, ones array<double>,"
+    " children array<double>"
 )
 
 
-def _asks(asks: dict[str, list], kind: int) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
-    own = [i for i, k in enumerate(asks["kinds"]) if k == kind]
-    return (
-        [asks["chunks"][i] for i in own],
-        [unpack_keys(asks["keys"][i]) for i in own],
-        [unpack_counts(asks["counts"][i]) for i in own],
-    )
+def _asks(table: pa.Table, kind: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Chunk, keys and counts of the asks of one kind."""
+    own = table.filter(pc.equal(table.column("kind"), kind))
+    return [
+        (chunk.as_py(), unpack_keys(keys.as_buffer()), unpack_counts(counts.as_buffer().to_pybytes()))
+        for chunk, keys, counts in zip(own.column("chunk"), own.column("keys"), own.column("counts"), strict=True)
+    ]
 
 
-def _route_levels(keys: np.ndarray, counts: np.ndarray, depth: int) -> list[ct.Level]:
-    learned = counts > 0
-    return ct.levels_down_to(keys[learned], counts[learned], depth, SHARED)
+def _all_asked(asks: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return summed([keys for _, keys, _ in asks], [counts for _, _, counts in asks])
 
 
-def gathered(table: pa.Table, depth: int) -> pa.Table:
-    """One row for a route: all its asks, the sums of its nodes just above, its training words and distinct words."""
-    columns = table.to_pydict()
-    asks = {"chunks": columns["chunk"], "kinds": columns["kind"], "keys": columns["keys"], "counts": columns["counts"]}
-    above = ct.parent_sums(_route_levels(*summed(*_asks(asks, GRAMS)[1:]), depth)[-1])
-    _, times = summed(*_asks(asks, WORDS)[1:])
+def _route_levels(keys: np.ndarray, counts: np.ndarray, depth: int, size: int) -> list[ct.Level]:
+    learned = counts > 0
+    return ct.levels_down_to(keys[learned], counts[learned], depth, size)
+
+
+def gathered(table: pa.Table, depth: int, hot: Hot) -> pa.Table:
+    """One row for a route: the sums of its nodes just above, its training words and distinct words."""
+    keys, counts = _all_asked(_asks(table, GRAMS))
+    sizes = shared_bytes(keys, depth, hot)
+    above = []
+    for size in np.unique(sizes).tolist():
+        own = sizes == size
+        sums = ct.parent_sums(_route_levels(keys[own], counts[own], depth, size)[-1])
+        above.append((np.full(len(sums[0]), size - 1), *sums))
+    joined = [np.concatenate(c) for c in zip(*above, strict=True)] if above else [np.zeros(0)] * 5
+    _, times = _all_asked(_asks(table, WORDS))
+    kinds = (np.int32, np.int64, float, float, float)
     return pa.table(
-        [
-            *[[asks[c]] for c in ("chunks", "kinds", "keys", "counts")],
-            [int(times.sum())],
-            [int((times > 0).sum())],
-            *[[x.astype(t)] for x, t in zip(above, (np.int64, float, float, float), strict=True)],
-        ],
-        schema=ROUTE,
+        [[int(times.sum())], [int((times > 0).sum())], *[[x.astype(t)] for x, t in zip(joined, kinds, strict=True)]],
+        schema=NODES,
     )
 
 
-def answered(asks: dict[str, list], depth: int, top: list[ct.Level]) -> pa.RecordBatch:
-    """For each chunk that asked: log10 probabilities of its grams, training counts of its words."""
+def answered(table: pa.Table, depth: int, hot: Hot, top: list[ct.Level]) -> pa.Table:
+    """For each chunk that asked, in the order of its keys: log10 probabilities of grams, training counts of words."""
     rows = []
+    route = table.column("route")[0].as_py()
     for kind in (GRAMS, WORDS):
-        chunks, asked_keys, counts = _asks(asks, kind)
-        keys, sums = summed(asked_keys, counts)
+        asks = _asks(table, kind)
+        keys, values = _all_asked(asks)
         if kind == GRAMS:
-            values = ct.log10_probability(keys, [*_route_levels(keys, sums, depth), *top], depth)
-            values = values.astype(np.float32)
-        else:
-            values = sums
-        for chunk, own in zip(chunks, asked_keys, strict=True):
+            values, counts = np.zeros(len(keys), np.float32), values
+            sizes = shared_bytes(keys, depth, hot)
+            for size in np.unique(sizes).tolist():
+                own = sizes == size
+                levels = [*_route_levels(keys[own], counts[own], depth, size), *top[depth - size :]]
+                values[own] = ct.log10_probability(keys[own], levels, depth)
+        for chunk, own, _ in asks:
             told = values[np.searchsorted(keys, own)]
-            rows.append((chunk, kind, pack_keys(own), told.tobytes() if kind == GRAMS else pack_counts(told)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ANSWERED, strict=True)], schema=ANSWERED
-    )
+            rows.append((chunk, route, kind, told.tobytes() if kind == GRAMS else pack_counts(told)))
+    return pa.table(list(map(list, zip(*rows, strict=True))), schema=ANSWERED)
 
 
-ANSWERED = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary())])
-ANSWERED_DDL = "chunk long, kind int, keys binary, numbers binary"
+ANSWERED = pa.schema([("chunk", pa.int64()), ("route", pa.int32()), ("kind", pa.int32()), ("numbers", pa.binary())])
+ANSWERED_DDL = "chunk long, route int, kind int, numbers binary"
+
+
+def top_nodes(nodes: np.ndarray, depth: int) -> list[ct.Level]:
+    """Levels from ``depth - 1`` bytes to the root: all nodes of the shortest, only hot contexts of the longer ones.
+
+    ``nodes`` has rows of bytes, node, zeros, ones and the log weight of the children that the routes summed up; a hot
+    context's own node is the child of one above it.
+    """
+    levels: list[ct.Level] = []
+    below: tuple[np.ndarray, ...] | None = None
+    for size in range(depth - 1, -1, -1):
+        own = nodes[nodes[:, 0] == size]
+        parts = [(own[:, 1].astype(np.uint64), own[:, 2], own[:, 3], own[:, 4])]
+        if below is not None:
+            parts.append(below)
+        levels.append(ct.mixed(*ct.grouped(*[np.concatenate(c) for c in zip(*parts, strict=True)])))
+        below = ct.parent_sums(levels[-1]) if size else None
+    return levels
 
 
 class Lookup:
@@ -241,24 +326,32 @@ class Lookup:
         return out
 
 
-def scored(docs: pa.Table, answers: pa.Table, depth: int, n_train: int, n_distinct: int) -> pa.Table:
-    """Scores of one chunk's documents."""
+def scored(
+    docs: pa.Table, answers: pa.Table, depth: int, routes: int, hot: Hot, n_train: int, n_distinct: int
+) -> pa.Table:
+    """Scores of one chunk's documents; the chunk's keys are found again, as answers hold only numbers."""
     if not docs.num_rows:
         return pa.table([[]] * len(SCORED), schema=SCORED)
+    texts = normal_texts(docs.column("text"))
+    keys_of = chunk_keys(texts, docs.column("train").to_numpy(), depth)
+    told: dict[tuple[int, int], bytes] = {
+        (k.as_py(), r.as_py()): n.as_py()
+        for k, r, n in zip(answers.column("kind"), answers.column("route"), answers.column("numbers"), strict=True)
+    }
     got = {}
     for kind, unpack in ((GRAMS, lambda packed: np.frombuffer(packed, np.float32)), (WORDS, unpack_counts)):
-        own = answers.filter(pc.equal(answers.column("kind"), kind)).to_pydict()
-        got[kind] = (
-            np.concatenate([unpack_keys(k) for k in own["keys"]]),
-            np.concatenate([unpack(v) for v in own["numbers"]]),
-        )
+        keys = keys_of[kind][0]
+        values = np.zeros(len(keys), np.float32 if kind == GRAMS else np.int64)
+        for route, chosen in by_route(kind, keys, depth, routes, hot):
+            values[chosen] = unpack(told.pop((kind, route)))
+        got[kind] = (keys, values)
+    del keys_of
     look = Lookup(*got[GRAMS])
-    order = np.argsort(got[WORDS][0])
-    known_keys, known_counts = got[WORDS][0][order], got[WORDS][1][order]
+    known_keys, known_counts = got[WORDS]
     scale = np.log10(n_train + 0.1 * (n_distinct + 1))
     end_count = known_counts[np.searchsorted(known_keys, np.uint64(END_KEY))]
     columns = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
-    for part in parts_of(normal_texts(docs.column("text"))):
+    for part in parts_of(texts):
         codes, begins = part_grams(part, depth)
         columns["score"].append(np.add.reduceat(look(codes), begins, dtype=np.float64))
         words, numbers = part_words(part)
@@ -317,10 +410,11 @@ def language_scores(
 
     The tree is never held whole. Documents are written once in chunks of about ``chunk_bytes``; a
     chunk asks for its distinct grams (context and byte) and words, with their training counts.
-    Asks meet by the nearest context bytes (words: by hash), where the counts of all chunks
-    add up to the tree's part below those bytes; the nodes above (65,280 at most)
-    are summed and sent to all. Each chunk gets the probability of what it asked.
-    Words are known by 64 bits of hash.
+    Asks meet by the two nearest context bytes (words: by hash), or by more where these precede more than one in 256 of
+    all bytes, so no route holds a large share of the asks. There the counts of all chunks
+    add up to the tree's part below those bytes; the nodes above (at most 255 for each context of one byte or none and
+    each of the hot ones, of which there are fewer than 256 a length) are summed and sent to all. Each
+    chunk gets the probability of what it asked, as numbers in the order of its keys. Words are known by 64 bits of hash.
 
     Returns ``id_col``, ``held_out``, ``n_tokens`` (words and one end), ``n_known`` (those seen in
     training), ``train_tokens``, ``base_score``, ``score``. Null is the empty text; a null id
@@ -337,34 +431,32 @@ def language_scores(
         train=F.coalesce(train, F.lit(False)),
     )
     spark = docs.sparkSession
-    routes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * placed.select("chunk").distinct().count())
-    asks = placed.groupBy("chunk").applyInArrow(lean(lambda table: asked(table, depth, routes)), ASKED_DDL)
-    gather = asks.groupBy("route").applyInArrow(lean(lambda table: gathered(table, depth)), ROUTE_DDL)
-    by_route = stage(gather, "routes")
-    n_train, n_distinct = by_route.agg(
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    routes = max(partitions, 2 * placed.select("chunk").distinct().count())
+    hot = hot_contexts(placed, depth)
+    asks = placed.groupBy("chunk").applyInArrow(lean(lambda table: asked(table, depth, routes, hot)), ASKED_DDL)
+    # Written once by route; both passes over the routes read it where it lies.
+    kept = stage_buckets(asks.repartition(partitions, "route"), "asks", ["route"], partitions)
+    nodes = stage(kept.groupBy("route").applyInArrow(lean(lambda table: gathered(table, depth, hot)), NODES_DDL), "nodes")
+    n_train, n_distinct = nodes.agg(
         F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_distinct"), F.lit(0))
     ).first()
-    nodes = (
-        by_route.select(F.inline(F.arrays_zip("node", "zeros", "ones", "children")))
-        .groupBy("node")
+    # Contexts of one byte and of none, and the hot ones: 255 nodes each at most.
+    above = (
+        nodes.select(F.inline(F.arrays_zip("bytes", "node", "zeros", "ones", "children")))
+        .groupBy("bytes", "node")
         .agg(F.sum("zeros"), F.sum("ones"), F.sum("children"))
         .collect()
     )
-    above = np.array([tuple(r) for r in nodes], np.float64).reshape(-1, 4)
-    levels = ct.top_levels(above[:, 0].astype(np.uint64), above[:, 1], above[:, 2], above[:, 3], SHARED - 1)
+    levels = top_nodes(np.array([tuple(r) for r in above], np.float64).reshape(-1, 5), depth)
     shared = spark.sparkContext.broadcast(levels)
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                yield answered({n: batch.column(n)[row].as_py() for n in batch.schema.names}, depth, shared.value)
-            release_memory()
-
-    answers = by_route.select("chunks", "kinds", "keys", "counts").mapInArrow(answer, ANSWERED_DDL)
+    answers = kept.groupBy("route").applyInArrow(
+        lean(lambda table: answered(table, depth, hot, shared.value)), ANSWERED_DDL
+    )
     done = (
         placed.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(lean(lambda d, a: scored(d, a, depth, n_train, n_distinct)), SCORED_DDL)
+        .applyInArrow(lean(lambda d, a: scored(d, a, depth, routes, hot, n_train, n_distinct)), SCORED_DDL)
     )
     return done.select(
         F.col("id").alias(id_col),
@@ -377,7 +469,7 @@ def language_scores(
     )
 
 
-def document_scores(docs: DataFrame, depth: int = 5) -> DataFrame:
+def document_scores(docs: DataFrame, depth: int = 6) -> DataFrame:
     """Every document; the tenth whose crc32 of the id ends in zero is not learned from."""
     number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     return language_scores(docs, train=number % 10 != 0, depth=depth)

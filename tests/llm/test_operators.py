@@ -126,7 +126,31 @@ def test_scores_of_documents(spark):
     docs = documents(spark)[:40]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     rows = lm_score.document_scores(df).collect()
-    check_scores(docs, rows, lambda d: brute.crc(d) % 10 != 0, 5)
+    check_scores(docs, rows, lambda d: brute.crc(d) % 10 != 0, 6)
+
+
+@pytest.mark.parametrize("depth,share", [(3, 10**9), (6, 10**9), (6, 1), (6, 40), (7, 300)])
+def test_hot_contexts_change_nothing(spark, monkeypatch, depth, share):
+    """From no hot context to every context that occurs being worked on by all its bytes."""
+    monkeypatch.setattr(lm_score, "HOT_SHARE", share)
+    docs = [(d, t[:600]) for d, t in documents(spark)[:25]] + [(90, "aaaa " * 40), (91, None), (92, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = lm_score.language_scores(df, F.col("doc_id") % 3 != 0, depth=depth, chunk_bytes=3000)
+    check_scores(docs, got.collect(), lambda d: d % 3 != 0, depth)
+
+
+def test_no_route_holds_a_hot_context(spark):
+    """Contexts that precede more than their share of all bytes are dealt out by more bytes."""
+    text = "na na na ma na nb nc nd " * 50
+    placed = spark.createDataFrame([(text.encode(), 0)], "text binary, chunk long")
+    hot = lm_score.hot_contexts(placed, 6)
+    assert set(hot) == {2, 3, 4, 5}
+    keys = np.unique(lm_score.part_grams(lm_score.parts_of([text.strip().encode()])[0], 6)[0])
+    sizes = lm_score.shared_bytes(keys, 6, hot)
+    assert sizes.min() >= 2 and sizes.max() == 6
+    for size in (2, 3, 4, 5):
+        at = lm_score.prefix_of(keys, 6, size)
+        assert np.array_equal((sizes > size)[sizes >= size], np.isin(at, hot[size])[sizes >= size])
 
 
 # --- op2
