@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airseries.llm import context_tree as ct
 from airseries.llm.chunks import in_chunks
-from airseries.llm.common import lean
+from airseries.llm.common import lean, release_memory
 from airseries.session import stage, stage_buckets
 
 GRAMS, WORDS = 0, 1
@@ -21,8 +21,10 @@ GRAMS, WORDS = 0, 1
 Hot = dict[int, np.ndarray]
 #: Contexts whose nearest bytes agree in so many bytes are worked on together; more bytes where so many are hot.
 SHARED = 2
-#: A context that precedes more than one in so many of all bytes is hot.
+#: A context that precedes more than one in so many of the bytes looked at is hot.
 HOT_SHARE = 256
+#: Chunks looked at for hot contexts.
+HOT_CHUNKS = 8
 #: Bytes of text whose grams are held at once.
 PART = 1 << 20
 #: The key of the end token; no word is empty.
@@ -82,10 +84,13 @@ def word_keys(words: pa.DictionaryArray) -> np.ndarray:
 
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their counts."""
-    if not keys:
+    if not sum(map(len, keys)):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    own, where = np.unique(np.concatenate(keys), return_inverse=True)
-    return own, np.bincount(where, np.concatenate(counts), len(own)).astype(np.int64)
+    joined = np.concatenate(keys)
+    order = np.argsort(joined, kind="stable")
+    joined = joined[order]
+    begins = np.flatnonzero(np.concatenate([[True], joined[1:] != joined[:-1]]))
+    return joined[begins], np.add.reduceat(np.concatenate(counts)[order], begins, dtype=np.int64)
 
 
 def prefix_of(keys: np.ndarray, depth: int, size: int) -> np.ndarray:
@@ -94,10 +99,14 @@ def prefix_of(keys: np.ndarray, depth: int, size: int) -> np.ndarray:
 
 
 def shared_bytes(keys: np.ndarray, depth: int, hot: Hot) -> np.ndarray:
-    """For each gram by how many nearest bytes it is worked on: one more than its longest hot context."""
-    sizes = np.full(len(keys), SHARED)
+    """For each gram (in rising order) by how many nearest bytes it is worked on: one more than its longest hot context."""
+    sizes = np.full(len(keys), SHARED, np.uint8)
     for size in sorted(hot):
-        sizes[(sizes == size) & np.isin(prefix_of(keys, depth, size), hot[size])] = size + 1
+        shift = np.uint64(8 * (depth + 1 - size))
+        first = np.searchsorted(keys, hot[size] << shift)
+        last = np.searchsorted(keys, (hot[size] << shift) | ((np.uint64(1) << shift) - np.uint64(1)), side="right")
+        for lo, hi in zip(first.tolist(), last.tolist(), strict=True):
+            sizes[lo:hi] = size + 1
     return sizes
 
 
@@ -110,41 +119,44 @@ def routes_of(kind: int, keys: np.ndarray, depth: int, routes: int, hot: Hot) ->
     return (keys % np.uint64(routes)).astype(np.int32)
 
 
-def hot_contexts(placed: DataFrame, depth: int) -> Hot:
-    """Contexts that precede more than one in HOT_SHARE of all bytes, from SHARED bytes up; fewer than HOT_SHARE a size.
+def hot_contexts(placed: DataFrame, depth: int, chunks: int) -> Hot:
+    """Contexts of SHARED bytes and more that precede more than one in HOT_SHARE of the bytes of some chunks.
 
-    One pass for each size, as long as there are hot ones. They decide only what is worked on together.
+    They decide only which grams are worked on together, so that no route gets a large share; scores do not depend on
+    them. So, as for the bounds of a range partitioning, a few chunks are enough. Fewer than HOT_SHARE a size.
     """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, contexts, numbers = [], [], []
+            for part in parts_of(normal_texts(pa.chunked_array([batch.column(0)]))):
+                codes = part_grams(part, depth)[0]
+                for size in range(SHARED, depth):
+                    own, n = np.unique(prefix_of(codes, depth, size), return_counts=True)
+                    often = n * (4 * HOT_SHARE) > len(codes)
+                    sizes.append(np.full(often.sum(), size))
+                    contexts.append(own[often].astype(np.int64))
+                    numbers.append(n[often])
+                sizes.append([0])
+                contexts.append([0])
+                numbers.append([len(codes)])
+            columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in (sizes, contexts, numbers)]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "context", "n"])
+            release_memory()
+
+    some = placed.where(F.pmod(F.xxhash64("chunk"), F.lit(max(1, chunks))) < HOT_CHUNKS).select("text")
+    counted = some.mapInArrow(count, "size long, context long, n long").groupBy("size", "context").agg(F.sum("n").alias("n"))
+    total = counted.where("size = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     hot: Hot = {}
+    # Fewer than HOT_SHARE rows a size.
+    rows = counted.where(F.col("size") > 0).where(F.col("n") * HOT_SHARE > total).collect()
     for size in range(SHARED, depth):
-        parents = hot.get(size - 1)
-
-        def count(batches: Iterator[pa.RecordBatch], size: int = size, parents: np.ndarray | None = parents) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(256 * (256 ** (SHARED - 1) if parents is None else len(parents)), np.int64)
-            for batch in batches:
-                for part in parts_of(normal_texts(pa.chunked_array([batch.column(0)]))):
-                    codes, _ = part_grams(part, size)
-                    codes = codes >> np.uint64(8)
-                    if parents is not None:
-                        upper = codes >> np.uint64(8)
-                        at = np.minimum(np.searchsorted(parents, upper), len(parents) - 1)
-                        codes = at[parents[at] == upper].astype(np.uint64) * np.uint64(256) + (
-                            codes[parents[at] == upper] & np.uint64(255)
-                        )
-                    total += np.bincount(codes.astype(np.int64), minlength=len(total))
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["place", "n"])
-
-        counted = placed.select("text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-        if size == SHARED:
-            least = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // HOT_SHARE
-        # Fewer than HOT_SHARE rows.
-        places = np.array([r.place for r in counted.where(F.col("n") > least).collect()], np.uint64)
-        if not len(places):
+        found = np.sort(np.array([r.context for r in rows if r["size"] == size], np.uint64))
+        if size > SHARED:
+            found = found[np.isin(found >> np.uint64(8), hot[size - 1])]
+        if not len(found):
             break
-        if parents is not None:
-            places = parents[places // np.uint64(256)] * np.uint64(256) + places % np.uint64(256)
-        hot[size] = np.sort(places)
+        hot[size] = found
     return hot
 
 
@@ -166,8 +178,17 @@ def unpack_counts(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
 
 
+def distinct_keys(texts: list[bytes], depth: int) -> dict[int, np.ndarray]:
+    """The distinct grams and words of a chunk in rising order."""
+    grams, words = [], [np.array([END_KEY], np.uint64)]
+    for part in parts_of(texts):
+        grams.append(np.unique(part_grams(part, depth)[0]))
+        words.append(word_keys(part_words(part)[0]))
+    return {GRAMS: np.unique(np.concatenate(grams)), WORDS: np.unique(np.concatenate(words))}
+
+
 def chunk_keys(texts: list[bytes], train: np.ndarray, depth: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """The distinct grams and words of a chunk in rising order, with their training counts."""
+    """The distinct keys of a chunk, with their training counts."""
     found = {GRAMS: ([], []), WORDS: ([], [])}
     for learn in (True, False):
         own = [t for t, x in zip(texts, train, strict=True) if x == learn]
@@ -175,7 +196,7 @@ def chunk_keys(texts: list[bytes], train: np.ndarray, depth: int) -> dict[int, t
             codes, _ = part_grams(part, depth)
             keys, counts = np.unique(codes, return_counts=True)
             found[GRAMS][0].append(keys)
-            found[GRAMS][1].append(counts * learn)
+            found[GRAMS][1].append((counts * learn).astype(np.int32))
             words, _ = part_words(part)
             found[WORDS][0].append(word_keys(words))
             found[WORDS][1].append(np.bincount(words.indices, minlength=len(words.dictionary)) * learn)
@@ -285,17 +306,18 @@ ANSWERED = pa.schema([("chunk", pa.int64()), ("route", pa.int32()), ("kind", pa.
 ANSWERED_DDL = "chunk long, route int, kind int, numbers binary"
 
 
-def top_nodes(nodes: np.ndarray, depth: int) -> list[ct.Level]:
+def top_nodes(rows: list[tuple], depth: int) -> list[ct.Level]:
     """Levels from ``depth - 1`` bytes to the root: all nodes of the shortest, only hot contexts of the longer ones.
 
-    ``nodes`` has rows of bytes, node, zeros, ones and the log weight of the children that the routes summed up; a hot
+    ``rows`` have bytes, node, zeros, ones and the log weight of the children that the routes summed up; a hot
     context's own node is the child of one above it.
     """
+    kinds = (np.int64, np.uint64, float, float, float)
+    sizes, *nodes = [np.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
     levels: list[ct.Level] = []
     below: tuple[np.ndarray, ...] | None = None
     for size in range(depth - 1, -1, -1):
-        own = nodes[nodes[:, 0] == size]
-        parts = [(own[:, 1].astype(np.uint64), own[:, 2], own[:, 3], own[:, 4])]
+        parts = [tuple(x[sizes == size] for x in nodes)]
         if below is not None:
             parts.append(below)
         levels.append(ct.mixed(*ct.grouped(*[np.concatenate(c) for c in zip(*parts, strict=True)])))
@@ -304,17 +326,17 @@ def top_nodes(nodes: np.ndarray, depth: int) -> list[ct.Level]:
 
 
 class Lookup:
-    """Values of a chunk's keys, all of which are present: one slot per key, the few that share a slot by search."""
+    """Values of a chunk's sorted keys, all of which are present: one slot per key, the few that share a slot by search."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order].astype(float)
-        self.shift = np.uint64(64 - max(12, int(len(keys)).bit_length() + 3))
-        slots = self.slot(self.keys)
-        self.table = np.zeros(1 << int(64 - self.shift), np.float32)
-        self.table[slots] = self.values
-        taken = np.bincount(slots, minlength=len(self.table))
-        self.table[taken > 1] = np.nan
+        self.keys, self.values = keys, values
+        self.shift = np.uint64(64 - max(12, int(len(keys)).bit_length() + 2))
+        slots = self.slot(keys)
+        self.table = np.full(1 << int(64 - self.shift), np.nan, np.float32)
+        self.table[slots] = values
+        # Where a key does not read its own value back, another one shares its slot.
+        order = np.sort(slots)
+        self.table[order[1:][order[1:] == order[:-1]]] = np.nan
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
@@ -333,14 +355,14 @@ def scored(
     if not docs.num_rows:
         return pa.table([[]] * len(SCORED), schema=SCORED)
     texts = normal_texts(docs.column("text"))
-    keys_of = chunk_keys(texts, docs.column("train").to_numpy(), depth)
+    keys_of = distinct_keys(texts, depth)
     told: dict[tuple[int, int], bytes] = {
         (k.as_py(), r.as_py()): n.as_py()
         for k, r, n in zip(answers.column("kind"), answers.column("route"), answers.column("numbers"), strict=True)
     }
     got = {}
     for kind, unpack in ((GRAMS, lambda packed: np.frombuffer(packed, np.float32)), (WORDS, unpack_counts)):
-        keys = keys_of[kind][0]
+        keys = keys_of[kind]
         values = np.zeros(len(keys), np.float32 if kind == GRAMS else np.int64)
         for route, chosen in by_route(kind, keys, depth, routes, hot):
             values[chosen] = unpack(told.pop((kind, route)))
@@ -432,8 +454,9 @@ def language_scores(
     )
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    routes = max(partitions, 2 * placed.select("chunk").distinct().count())
-    hot = hot_contexts(placed, depth)
+    chunks = placed.select("chunk").distinct().count()
+    routes = max(partitions, 2 * chunks)
+    hot = hot_contexts(placed, depth, chunks)
     asks = placed.groupBy("chunk").applyInArrow(lean(lambda table: asked(table, depth, routes, hot)), ASKED_DDL)
     # Written once by route; both passes over the routes read it where it lies.
     kept = stage_buckets(asks.repartition(partitions, "route"), "asks", ["route"], partitions)
@@ -448,7 +471,7 @@ def language_scores(
         .agg(F.sum("zeros"), F.sum("ones"), F.sum("children"))
         .collect()
     )
-    levels = top_nodes(np.array([tuple(r) for r in above], np.float64).reshape(-1, 5), depth)
+    levels = top_nodes(above, depth)
     shared = spark.sparkContext.broadcast(levels)
     answers = kept.groupBy("route").applyInArrow(
         lean(lambda table: answered(table, depth, hot, shared.value)), ANSWERED_DDL

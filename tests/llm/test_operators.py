@@ -143,7 +143,7 @@ def test_no_route_holds_a_hot_context(spark):
     """Contexts that precede more than their share of all bytes are dealt out by more bytes."""
     text = "na na na ma na nb nc nd " * 50
     placed = spark.createDataFrame([(text.encode(), 0)], "text binary, chunk long")
-    hot = lm_score.hot_contexts(placed, 6)
+    hot = lm_score.hot_contexts(placed, 6, 1)
     assert set(hot) == {2, 3, 4, 5}
     keys = np.unique(lm_score.part_grams(lm_score.parts_of([text.strip().encode()])[0], 6)[0])
     sizes = lm_score.shared_bytes(keys, 6, hot)
