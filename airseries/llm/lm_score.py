@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -178,15 +179,6 @@ def unpack_counts(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
 
 
-def distinct_keys(texts: list[bytes], depth: int) -> dict[int, np.ndarray]:
-    """The distinct grams and words of a chunk in rising order."""
-    grams, words = [], [np.array([END_KEY], np.uint64)]
-    for part in parts_of(texts):
-        grams.append(np.unique(part_grams(part, depth)[0]))
-        words.append(word_keys(part_words(part)[0]))
-    return {GRAMS: np.unique(np.concatenate(grams)), WORDS: np.unique(np.concatenate(words))}
-
-
 def chunk_keys(texts: list[bytes], train: np.ndarray, depth: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """The distinct keys of a chunk, with their training counts."""
     found = {GRAMS: ([], []), WORDS: ([], [])}
@@ -325,27 +317,23 @@ def top_nodes(rows: list[tuple], depth: int) -> list[ct.Level]:
     return levels
 
 
-class Lookup:
-    """Values of a chunk's sorted keys, all of which are present: one slot per key, the few that share a slot by search."""
+@dataclass
+class Part:
+    """Some texts of a chunk: their distinct grams and where each occurs, where texts begin, their words."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.keys, self.values = keys, values
-        self.shift = np.uint64(64 - max(12, int(len(keys)).bit_length() + 2))
-        slots = self.slot(keys)
-        self.table = np.full(1 << int(64 - self.shift), np.nan, np.float32)
-        self.table[slots] = values
-        # Where a key does not read its own value back, another one shares its slot.
-        order = np.sort(slots)
-        self.table[order[1:][order[1:] == order[:-1]]] = np.nan
+    grams: np.ndarray
+    places: np.ndarray
+    begins: np.ndarray
+    word_keys: np.ndarray
+    words: np.ndarray
+    numbers: np.ndarray
 
-    def slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        out = self.table[self.slot(keys)]
-        shared = np.flatnonzero(np.isnan(out))
-        out[shared] = self.values[np.searchsorted(self.keys, keys[shared])]
-        return out
+def part_of(texts: list[bytes], depth: int) -> Part:
+    codes, begins = part_grams(texts, depth)
+    grams, places = np.unique(codes, return_inverse=True)
+    words, numbers = part_words(texts)
+    return Part(grams, places.astype(np.int32), begins, word_keys(words), words.indices.to_numpy(), numbers)
 
 
 def scored(
@@ -354,8 +342,12 @@ def scored(
     """Scores of one chunk's documents; the chunk's keys are found again, as answers hold only numbers."""
     if not docs.num_rows:
         return pa.table([[]] * len(SCORED), schema=SCORED)
-    texts = normal_texts(docs.column("text"))
-    keys_of = distinct_keys(texts, depth)
+    parts = [part_of(part, depth) for part in parts_of(normal_texts(docs.column("text")))]
+    end = np.array([END_KEY], np.uint64)
+    keys_of = {
+        GRAMS: np.unique(np.concatenate([p.grams for p in parts])),
+        WORDS: np.unique(np.concatenate([end, *[p.word_keys for p in parts]])),
+    }
     told: dict[tuple[int, int], bytes] = {
         (k.as_py(), r.as_py()): n.as_py()
         for k, r, n in zip(answers.column("kind"), answers.column("route"), answers.column("numbers"), strict=True)
@@ -367,26 +359,23 @@ def scored(
         for route, chosen in by_route(kind, keys, depth, routes, hot):
             values[chosen] = unpack(told.pop((kind, route)))
         got[kind] = (keys, values)
-    del keys_of
-    look = Lookup(*got[GRAMS])
+    gram_keys, chances = got[GRAMS]
     known_keys, known_counts = got[WORDS]
     scale = np.log10(n_train + 0.1 * (n_distinct + 1))
     end_count = known_counts[np.searchsorted(known_keys, np.uint64(END_KEY))]
     columns = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
-    for part in parts_of(texts):
-        codes, begins = part_grams(part, depth)
-        columns["score"].append(np.add.reduceat(look(codes), begins, dtype=np.float64))
-        words, numbers = part_words(part)
-        counts = known_counts[np.searchsorted(known_keys, word_keys(words))]
-        codes = words.indices.to_numpy()
-        ends = np.cumsum(numbers)
+    for part in parts:
+        per_gram = chances[np.searchsorted(gram_keys, part.grams)]
+        columns["score"].append(np.add.reduceat(per_gram[part.places], part.begins, dtype=np.float64))
+        counts = known_counts[np.searchsorted(known_keys, part.word_keys)]
+        ends = np.cumsum(part.numbers)
         for name, per_word, per_end in (
             ("n_known", (counts > 0).astype(np.float64), float(end_count > 0)),
             ("base_score", np.log10(counts + 0.1) - scale, np.log10(end_count + 0.1) - scale),
         ):
-            sums = np.concatenate([[0.0], np.cumsum(per_word[codes])])
-            columns[name].append(sums[ends] - sums[ends - numbers] + per_end)
-        columns["n_tokens"].append(numbers + 1)
+            sums = np.concatenate([[0.0], np.cumsum(per_word[part.words])])
+            columns[name].append(sums[ends] - sums[ends - part.numbers] + per_end)
+        columns["n_tokens"].append(part.numbers + 1)
     whole = {n: np.concatenate(v) for n, v in columns.items()}
     return pa.table(
         [
