@@ -48,6 +48,18 @@ def text_key(c: str) -> Column:
     return F.xxhash64(F.col(c).isNull(), F.col(c))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for an operator's own columns that no column of ``df`` has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def schema_of(df: DataFrame, keep: Iterable[str], fields: list[tuple[str, str]]) -> T.StructType:
     """The kept columns and then the new fields; a new field replaces a kept column of its name."""
     new = {name for name, _ in fields}

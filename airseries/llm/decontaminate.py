@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airseries.llm.automaton import SuffixAutomaton
-from airseries.llm.common import as_bytes, map_rows
+from airseries.llm.common import as_bytes, free_names, map_rows
 from airseries.session import stage
 
 #: Bytes as normalised: letters and digits of ASCII in lower case, bytes beyond ASCII as they are, else a space.
@@ -119,10 +119,11 @@ def decontaminate(
 
     Null and empty texts have no words and no hits, items without words
     and null items match nothing, repeated items share their windows. A null item
-    id is the empty string. Empty tables give empty results.
+    id is the empty string. Empty tables give empty results. Other columns may have any name.
     """
     keep = list(docs.columns) if keep is None else keep
-    keep = [c for c in keep if c not in {name for name, _ in FOUND}]
+    keep = [c for c in keep if c.lower() not in {name for name, _ in FOUND}]
+    carry = list(zip(free_names(docs, *[name for name, _ in CARRIED]), [kind for _, kind in CARRIED], strict=True))
     named = items.select(
         F.coalesce(F.col(item_id_col).cast("string"), F.lit("")).alias("item"),
         F.col(item_text_col).cast("binary").alias("body"),
@@ -137,7 +138,7 @@ def decontaminate(
             ItemIndex([(r.item, bytes(r.body)) for r in own.sort("item").toLocalIterator()], window)
         )
         last = number == shards - 1
-        scanned = _scan(scanned, index, keep, text_col, max_coverage, carried=number > 0, last=last)
+        scanned = _scan(scanned, index, keep, text_col, max_coverage, carry, number > 0, last)
         if not last:
             scanned = stage(scanned, "decontaminate")
     return scanned
@@ -162,16 +163,17 @@ def _scan(
     keep: list[str],
     text_col: str,
     max_coverage: float,
+    carry: list[tuple[str, str]],
     carried: bool,
     last: bool,
 ) -> DataFrame:
     columns = list(docs.columns)
-    places = {c: columns.index(c) for c in [text_col, *(n for n, _ in CARRIED if carried)]}
+    places = {c: columns.index(c) for c in [text_col, *(n for n, _ in carry if carried)]}
 
     def make(batch: pa.RecordBatch) -> dict:
         texts = as_bytes(batch.column(places[text_col])).to_pylist()
-        old = [batch.column(places[n]).to_pylist() for n, _ in CARRIED] if carried else [[None] * len(texts)] * 3
-        out = {n: [] for n, _ in (FOUND if last else CARRIED)}
+        old = [batch.column(places[n]).to_pylist() for n, _ in carry] if carried else [[None] * len(texts)] * 3
+        out = {n: [] for n, _ in (FOUND if last else carry)}
         for text, flags, items, longest in zip(texts, *old, strict=True):
             words = words_of(text or b"")
             hits, found, most = index.value.scan(words)
@@ -193,7 +195,7 @@ def _scan(
         return out
 
     kept = keep if last else list(dict.fromkeys([*keep, text_col]))
-    return map_rows(docs, kept, FOUND if last else CARRIED, make)
+    return map_rows(docs, kept, FOUND if last else carry, make)
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airseries.llm.common import SPACE, id_of, lower_ascii, text_key
+from airseries.llm.common import SPACE, free_names, id_of, lower_ascii, text_key
 
 
 def line_key(line: Column) -> Column:
@@ -32,9 +32,10 @@ def dedup_lines(
     ``lines_changed``. A null or empty text is one empty line; it is never
     dropped, and a null text stays null. A null id counts as the smallest id. Rows
     with the same id are one document: its own repeated lines all stay. Equal
-    rows get equal results. An empty table gives an empty table.
+    rows get equal results. An empty table gives an empty table. Other columns may have any name.
     """
-    out = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "lines_changed")]
+    out = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "lines_changed")]
+    own_doc, own_row, own_drops, own_lines = free_names(docs, "__doc", "__row", "__drops", "__lines")
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     found = (
         docs.select(id_of(id_col).alias("doc"), text_key(text_col).alias("row"), lines.alias("all"))
@@ -59,23 +60,23 @@ def dedup_lines(
         .where(F.col("doc") != F.col("first"))
         .groupBy("doc", "row")
         .agg(F.collect_set("pos").alias("drops"))
-        .select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), F.col("drops").alias("__drops"))
+        .select(F.col("doc").alias(own_doc), F.col("row").alias(own_row), F.col("drops").alias(own_drops))
     )
     joined = (
-        docs.select(*out, id_of(id_col).alias("__doc"), text_key(text_col).alias("__row"))
-        .join(dropped, ["__doc", "__row"], "left")
-        .withColumn("__lines", lines)
+        docs.select(*out, id_of(id_col).alias(own_doc), text_key(text_col).alias(own_row))
+        .join(dropped, [own_doc, own_row], "left")
+        .withColumn(own_lines, lines)
     )
     # The difference of two position lists keeps the order and is linear in the lines.
     places = F.array_except(
-        F.sequence(F.lit(0), F.size("__lines") - 1), F.coalesce(F.col("__drops"), F.array().cast("array<int>"))
+        F.sequence(F.lit(0), F.size(own_lines) - 1), F.coalesce(F.col(own_drops), F.array().cast("array<int>"))
     )
-    kept = F.array_join(F.transform(places, lambda i: F.get(F.col("__lines"), i)), "\n")
-    changed = F.col("__drops").isNotNull()
+    kept = F.array_join(F.transform(places, lambda i: F.get(F.col(own_lines), i)), "\n")
+    changed = F.col(own_drops).isNotNull()
     return joined.select(
         *[F.when(changed, kept).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in out],
-        F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drops"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.size(own_lines).cast("long").alias("n_lines"),
+        F.coalesce(F.size(own_drops), F.lit(0)).cast("long").alias("n_dropped"),
         changed.alias("lines_changed"),
     )
 

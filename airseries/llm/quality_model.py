@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airseries.llm.common import as_bytes, map_rows
+from airseries.llm.common import as_bytes, free_names, map_rows, text_key
 
 #: Upper ends of the bins a share or mean falls into.
 SHARES = np.array([0, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97])
@@ -31,10 +31,15 @@ class Machine:
     factors: np.ndarray
     word_buckets: int
 
-    def score(self, features: np.ndarray, values: np.ndarray) -> float:
+    def score(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Probability of label 1 for each row of features and values; every row has a feature."""
+        sizes = [len(f) for f, _ in rows]
+        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        features = np.concatenate([f for f, _ in rows])
+        values = np.concatenate([v for _, v in rows]).astype(np.float64)
         taken = self.factors[features] * values[:, None]
-        pairs = 0.5 * float(((taken.sum(axis=0)) ** 2 - (taken**2).sum(axis=0)).sum())
-        margin = self.bias + float(self.weights[features] @ values) + pairs
+        pairs = 0.5 * (np.add.reduceat(taken, begins) ** 2 - np.add.reduceat(taken**2, begins)).sum(axis=1)
+        margin = self.bias + np.add.reduceat(self.weights[features] * values, begins) + pairs
         return 1.0 / (1.0 + np.exp(-np.clip(margin, -35.0, 35.0)))
 
 
@@ -90,12 +95,13 @@ def fit(
 ) -> Machine:
     """AdaGrad on the logistic loss; the order of the examples and the seed fix the result.
 
-    Few examples are gone through more often, until about ``seen`` were looked at.
+    Few examples are gone through more often, until about ``seen`` were looked at. Without
+    examples all weights are zero, so that every score is one half.
     """
     size = buckets + (STATISTICS + metadata) * BINS
     random = np.random.default_rng(seed)
     weights = np.zeros(size, np.float32)
-    factors = random.normal(0, 0.05, (size, rank)).astype(np.float32)
+    factors = random.normal(0, 0.05 if examples else 0, (size, rank)).astype(np.float32)
     ones = sum(label for label, _, _ in examples)
     bias = float(np.log((ones + 1) / (len(examples) - ones + 1)))
     seen_w, seen_v, seen_b = np.full(size, 1e-6, np.float32), np.full((size, rank), 1e-6, np.float32), 1e-6
@@ -142,9 +148,10 @@ def train(
 ) -> Machine:
     """Fit the machine on at most ``max_examples`` labelled rows, taken by hash of the id.
 
-    That bound is the only sample: it limits what reaches the driver (ids first, then the
-    features of those documents). Rows with a null label or id teach nothing; a document
-    with both labels is one example of each. Without any example all scores are one half.
+    That bound is the only sample: it limits what reaches the driver, however many documents have
+    a labelled id. Rows with a null label or id teach nothing; a document with both labels is one
+    example of each, documents equal in id, text and metadata are one example. Without
+    any example all scores are one half.
     """
     chosen = (
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -153,15 +160,22 @@ def train(
         .orderBy(F.xxhash64("id"), "id", "label")
         .limit(max_examples)
     )
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *_numbers(docs, metadata)
-    ).join(F.broadcast(chosen), "id")
+    numbers = [f"number_{k}" for k in range(len(metadata))]
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *_numbers(docs, metadata))
+    key = F.xxhash64(text_key("text"), *numbers).alias("key")
+    # Ids first, then rows: one id may be that of any number of documents.
+    rows_of = source.join(F.broadcast(chosen), "id").select("id", "label", key).distinct()
+    picked = rows_of.orderBy(F.xxhash64("id"), "id", "label", "key").limit(max_examples)
+    picked = picked.withColumnsRenamed({"id": "picked_id", "key": "picked_key"})
+    same = (F.col("id") == F.col("picked_id")) & (key == F.col("picked_key"))
+    texts = source.join(F.broadcast(picked), same).select("id", "text", *numbers, "label", "picked_key")
 
     def make(batch: pa.RecordBatch) -> dict:
         rows = list(_feature_rows(batch, 1, 2, len(metadata), buckets))
         return {"f": [f.astype(np.int32).tobytes() for f, _ in rows], "v": [v.tobytes() for _, v in rows]}
 
-    found = map_rows(texts, ["id", "label"], [("f", "binary"), ("v", "binary")], make)
+    found = map_rows(texts, ["id", "label", "picked_key"], [("f", "binary"), ("v", "binary")], make)
+    found = found.dropDuplicates(["id", "label", "picked_key"])
     rows = sorted(found.collect(), key=lambda r: (zlib.crc32(str(r.id).encode()), r.id, r.label, bytes(r.f)))
     examples = [(r.label, np.frombuffer(r.f, np.int32).astype(np.int64), np.frombuffer(r.v, np.float32)) for r in rows]
     return fit(examples, buckets, len(metadata))
@@ -193,17 +207,24 @@ def score(
 
     The machine is broadcast; its size is fixed by its buckets and rank. Null and empty texts
     have the features of an empty text; null metadata is left out of the sum.
-    Nothing is shuffled; a kept column of the score's name is replaced.
+    Nothing is shuffled; a kept column of the score's name is replaced, others may have any name.
+    An empty table gives an empty table.
     """
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def make(batch: pa.RecordBatch) -> dict:
         own = model.value
         rows = _feature_rows(batch, len(keep), len(keep) + 1, len(metadata), own.word_buckets)
-        return {score_col: [own.score(f, v) for f, v in rows]}
+        scores = []
+        while part := list(islice(rows, 256)):
+            scores.append(own.score(part))
+        return {score_col: pa.array(np.concatenate(scores))}
 
+    text, *numbers = free_names(docs, "__text", *[f"__{k}" for k in range(len(metadata))])
     source = docs.select(
-        *keep, F.col(text_col).alias("__text"), *[c.alias(f"__{k}") for k, c in enumerate(_numbers(docs, metadata))]
+        *keep,
+        F.col(text_col).alias(text),
+        *[c.alias(n) for n, c in zip(numbers, _numbers(docs, metadata), strict=True)],
     )
     return map_rows(source, keep, [(score_col, "double")], make)
 

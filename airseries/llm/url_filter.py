@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airseries.llm.common import lower_ascii
+from airseries.llm.common import free_names, lower_ascii
 
 
 def _after_scheme(url: Column) -> Column:
@@ -49,7 +49,9 @@ def judge_urls(
     else ``default``). A null url and one without ``://`` have an empty host and path.
     Rules that are null or have no path are left out of the match; a rule given twice counts
     once, with ``block`` before other verdicts. A url that many rows share is expanded once.
+    An empty table gives an empty table; other columns may have any name.
     """
+    own_host, own_path, won = free_names(pages, "__host", "__path", "__won")
     hash_chars = 2 * prefix_bytes
     known = (
         rules.select(F.col("rule"), F.col("verdict"))
@@ -61,7 +63,7 @@ def judge_urls(
         .withColumn("digest", F.sha2(F.concat("rule_host", "rule_path").cast("binary"), 256))
         .withColumn("short", F.substring("digest", 1, hash_chars))
     )
-    out = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    out = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     split = pages.select(
         *out, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")
     )
@@ -91,25 +93,25 @@ def judge_urls(
         tried.alias("t")
         .join(known.alias("k"), "short")
         .where(F.col("t.digest") == F.col("k.digest"))
-        .groupBy(F.col("t.host").alias("__host"), F.col("t.path").alias("__path"))
+        .groupBy(F.col("t.host").alias(own_host), F.col("t.path").alias(own_path))
         .agg(
             F.max_by(
                 F.struct("k.rule", "k.verdict"),
                 F.struct(
                     F.length("k.rule"), F.length("k.rule_host"), F.col("k.verdict") == "block", "k.rule"
                 ),
-            ).alias("__won")
+            ).alias(won)
         )
     )
     joined = split.join(
-        best, (F.col("host") == F.col("__host")) & (F.col("path") == F.col("__path")), "left"
+        best, (F.col("host") == F.col(own_host)) & (F.col("path") == F.col(own_path)), "left"
     )
     return joined.select(
         *out,
         "host",
         "path",
-        F.col("__won.rule").alias("rule"),
-        F.coalesce(F.col("__won.verdict"), F.lit(default)).alias("verdict"),
+        F.col(f"{won}.rule").alias("rule"),
+        F.coalesce(F.col(f"{won}.verdict"), F.lit(default)).alias("verdict"),
     )
 
 

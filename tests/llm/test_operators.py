@@ -54,7 +54,8 @@ ODD = [
 #: Columns of every table come with names that operators use inside or return.
 CLASHES = """id doc row key pos line chunk train text_key words hashes n_words n_lines n_dropped lines_changed score
 kept llr fingerprint component_id print node root tree n_tokens n_hit hit_items clean_text covered held_out
-predicted start length sequence_id host path rule verdict short digest label number_0 __text""".split()
+predicted start length sequence_id host path rule verdict short digest label number_0 __text __0 __doc __row __drops
+__lines __id __key __host __path __won __score __hits __items __longest n_dropped_ covered_ own_n_lines""".split()
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -432,7 +433,9 @@ def test_machine_equals_all_pairs():
     for i in range(4):
         for j in range(i):
             margin += machine.factors[features[i]] @ machine.factors[features[j]] * values[i] * values[j]
-    assert machine.score(features, values) == pytest.approx(1 / (1 + np.exp(-margin)))
+    first = 1 / (1 + np.exp(-(0.3 + machine.weights[3] * 2)))
+    got = machine.score([(np.array([3]), np.array([2.0])), (features, values)])
+    assert got == pytest.approx([first, 1 / (1 + np.exp(-margin))])
 
 
 def test_classifier_on_odd_rows(spark, odd):
@@ -444,10 +447,31 @@ def test_classifier_on_odd_rows(spark, odd):
     assert got.columns == ["doc_id", "host", "score"] and got.count() == len(ODD)
     assert all(0 < r.score < 1 for r in got.collect())
     blank = quality_model.train(odd, labels.limit(0))
-    assert {r.score for r in quality_model.score(odd, blank, ["doc_id"]).collect()} != set()
+    assert {r.score for r in quality_model.score(odd, blank, ["doc_id"]).collect()} == {0.5}
+    everything = quality_model.score(odd, machine, odd.columns, score_col="probability")
+    assert everything.columns == [*odd.columns, "probability"]
+    assert {r["__text"] for r in everything.collect()} == {"clash"}
     assert quality_model.score(odd.limit(0), machine, ["doc_id"]).count() == 0
 
 
+def test_examples_are_bounded_in_rows(spark, monkeypatch):
+    rows = [(1, f"word{i % 40} and more") for i in range(3000)] + [(2, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    taught = []
+
+    def fit(examples, *rest):
+        taught.append(len(examples))
+        return quality_model.Machine(0.0, np.zeros(1), np.zeros((1, 1)), 1)
+
+    monkeypatch.setattr(quality_model, "fit", fit)
+    quality_model.train(docs, labels, max_examples=1)
+    quality_model.train(docs, labels, max_examples=7)
+    quality_model.train(docs, labels)
+    # Equal rows are one example: 40 texts of one id and one of the other.
+    assert taught == [1, 7, 41]
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -2,6 +2,7 @@
 
 import brute
 import pytest
+from test_near_copies import components
 
 import corpus_pipeline
 from airseries.llm import common, quality_model, tokens
@@ -52,9 +53,7 @@ def test_line_stage(results):
 
 def test_near_duplicate_stage(results):
     before, after = texts(results[2]), texts(results[3])
-    prints = [(d, brute.simhash(t)) for d, t in before.items()]
-    keep = set(brute.components(prints))
-    assert after == {d: t for d, t in before.items() if d in keep}
+    assert sorted(after.items()) == [(d, before[d]) for d in components(list(before.items()))]
 
 
 def test_decontamination_stage(spark, results):
@@ -82,3 +81,34 @@ def test_run_gives_the_last_stage(spark, results):
     got = corpus_pipeline.run(spark, SF)
     pick = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert sorted(map(tuple, got.select(*pick).collect())) == sorted(map(tuple, results[5].select(*pick).collect()))
+
+
+def test_stages_on_odd_rows_and_empty_tables(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing names: every stage takes them and keeps the columns."""
+    long = " ".join(f"w{i * i % 9973}" for i in range(40_000))
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    shared = "a line that two documents have"
+    rows = [
+        (1, None), (2, ""), (3, " \n "), (4, "one"), (5, long), (5, long), (None, "nothing of an id here"), (None, None),
+        (6, shared + "\nmore of six"), (7, shared + "\nand seven"), (8, f"{long[:2000]} {leak} {long[2000:4000]}"),
+    ]
+    made = ["n_lines", "covered", "n_words", "clean_text", "__score", "__id", "__row", "__text", "own_n_lines"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.selectExpr("*", "cast(length(text) as long) as n_chars", *[f"'{c}' as `{c}`" for c in made])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    for table in (docs, docs.limit(0)):
+        for name, apply in corpus_pipeline.STAGES:
+            got = stage(apply(spark, table, str(tmp_path)), "odd")
+            found = got.collect()
+            assert bool(found) == bool(table.take(1)), name
+            if name == "packing":
+                continue
+            assert got.dtypes == docs.dtypes, name
+            assert all(r[c] == c for r in found for c in made), name
+            assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in found), name
+            if name == "line_dedup" and found:
+                want = [(d, "and seven" if d == 7 else t) for d, t in rows]
+                assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted(want, key=repr)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
