@@ -38,6 +38,85 @@ def regression_metrics(
     return df.groupBy(*[F.col(quoted(c)) for c in by]).agg(*parts)
 
 
+def forecast_metrics(
+    df: DataFrame, label: str, prediction: str, now: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """``regression_metrics``, and two of forecasts: mape and direction, in the same pass.
+
+    mape is the mean error relative to the label, over labels other than zero. direction is the
+    share of rows where forecast and label lie on the same side of the current value ``now``
+    (or both on it), over the rows that hold all three.
+    """
+    y = F.col(quoted(label)).cast("double")
+    p = F.col(quoted(prediction)).cast("double")
+    x = F.col(quoted(now)).cast("double")
+    same = F.sign(y - x) == F.sign(p - x)
+    parts = _regression(label, prediction) | {
+        "mape": F.avg(F.try_divide(F.abs(y - p), F.abs(y))),
+        "direction": F.avg(same.cast("double")),
+    }
+    return df.groupBy(*[F.col(quoted(c)) for c in by]).agg(*[c.alias(name) for name, c in parts.items()])
+
+
+def pinball_loss(
+    df: DataFrame, label: str, predictions: Mapping[float, str], by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per quantile (and group): n, mean pinball loss and share of labels at or below the forecast.
+
+    ``predictions`` names the column that forecasts each quantile; all come from one pass.
+    Rows without label or forecast are left out.
+    """
+    y = F.col(quoted(label)).cast("double")
+    rows = []
+    for q, name in predictions.items():
+        error = y - F.col(quoted(name)).cast("double")
+        rows.append(
+            F.struct(
+                F.lit(float(q)).alias("quantile"),
+                F.count(error).alias("n"),
+                F.avg(F.greatest(q * error, (q - 1) * error)).alias("loss"),
+                F.avg((error <= 0).cast("double")).alias("covered"),
+            )
+        )
+    groups = [F.col(quoted(c)) for c in by]
+    return df.groupBy(*groups).agg(F.array(*rows).alias("_rows")).select(*groups, F.inline("_rows"))
+
+
+def error_cube(
+    df: DataFrame, label: str, prediction: str, dims: Sequence[str]
+) -> DataFrame:
+    """Errors by every combination of the dimensions, each subtotal and the total.
+
+    Rows first become one row of moments per cell (count, sums of error, absolute and squared
+    error, largest error); all subtotals are merged from the cells, so the rows are read and
+    shuffled once, already summed. ``<dim>_all`` tells a subtotal over a dimension from a
+    cell whose value is null. Rows without label or prediction are left out.
+    """
+    error = F.col(quoted(label)).cast("double") - F.col(quoted(prediction)).cast("double")
+    columns = [F.col(quoted(d)) for d in dims]
+    cells = (
+        df.select(*columns, error.alias("_e"))
+        .where(F.col("_e").isNotNull())
+        .groupBy(*columns)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.sum("_e").alias("_sum"),
+            F.sum(F.abs("_e")).alias("_abs"),
+            F.sum(F.col("_e") * F.col("_e")).alias("_square"),
+            F.max(F.abs("_e")).alias("_max"),
+        )
+    )
+    n = F.sum("_n")
+    return cells.cube(*columns).agg(
+        *[(F.grouping(quoted(d)) == 1).alias(f"{d}_all") for d in dims],
+        n.alias("n"),
+        (F.sum("_sum") / n).alias("bias"),
+        (F.sum("_abs") / n).alias("mae"),
+        F.sqrt(F.sum("_square") / n).alias("rmse"),
+        F.max("_max").alias("worst"),
+    )
+
+
 def compare_predictions(
     df: DataFrame,
     label: str,

@@ -27,10 +27,11 @@ SUM_BITS = 32
 
 @dataclass(frozen=True)
 class RowFrame:
-    """A window expression and how many rows it looks back."""
+    """A window expression, how many rows it looks back and how many ahead."""
 
     lookback: int
     build: Callable[[WindowSpec], Column]
+    lookahead: int = 0
 
 
 def rolling_mean(name: str, n: int, shift: int = 0) -> RowFrame:
@@ -46,6 +47,16 @@ def lag(name: str, k: int) -> RowFrame:
     return RowFrame(k, lambda w: F.lag(quoted(name), k).over(w))
 
 
+def lead(name: str, k: int) -> RowFrame:
+    """The value ``k`` rows ahead; null where there is none. The target of a forecast over ``k`` rows."""
+    return RowFrame(0, lambda w: F.lead(quoted(name), k).over(w), k)
+
+
+def centred(name: str, n: int, of: Callable[[Column], Column] = F.avg) -> RowFrame:
+    """An aggregate (by default the mean) of the ``n`` rows before, the row itself and the ``n`` after it."""
+    return RowFrame(n, lambda w: of(F.col(quoted(name))).over(w.rowsBetween(-n, n)), n)
+
+
 def difference(name: str, k: int, shift: int = 0) -> RowFrame:
     """The value ``shift`` rows back minus the value ``k`` rows before that."""
 
@@ -67,56 +78,74 @@ def with_row_frames(
 
     ``by + order`` must be unique, else ties would make the result undefined.
     The total order is cut into sorted tiles, with or without a key and whatever the
-    size of a series. A row whose longest look-back lies in its tile takes its frames there,
-    without a shuffle. The first rows of each tile are worked on apart, together with
-    copies of the rows before them; only these rows move. All frames share one sort.
+    size of a series. A row whose longest looks back and ahead lie in its tile takes its frames there,
+    without a shuffle. The first and last rows of each tile are worked on apart, together with
+    copies of the rows before and after them; only these rows move. All frames share one sort.
     """
     if not frames:
         return df
     keys = [F.col(quoted(c)) for c in by]
-    lookback = max(f.lookback for f in frames.values())
+    back = max(f.lookback for f in frames.values())
+    ahead = max(f.lookahead for f in frames.values())
     tiles = sorted_tiles(df, [*by, *order], rows_per_tile)
 
     def framed(rows: DataFrame, part: str, at: str) -> DataFrame:
         window = Window.partitionBy(part, *keys).orderBy(at)
         return rows.withColumns({name: f.build(window) for name, f in frames.items()})
 
-    names = [*df.columns, *frames]
+    names = [quoted(c) for c in [*df.columns, *frames]]
     inside = framed(tiles, TILE, POS)
     held = tile_list(tiles)
-    if lookback == 0 or len(held) < 2:
-        return inside.select(*[quoted(c) for c in names])
+    if back == ahead == 0 or len(held) < 2:
+        return inside.select(*names)
     # One row per sort partition.
-    edges = F.broadcast(tiles.sparkSession.createDataFrame(_edges(held, lookback), EDGES))
+    edges = F.broadcast(tiles.sparkSession.createDataFrame(_edges(held, back, ahead), EDGES))
     index = F.col("_start") + F.col(POS)
-    later = F.transform(
-        F.filter("_later", lambda t: index >= t.start - lookback),
-        lambda t: F.struct(t.tile.alias("_edge"), F.lit(False).alias("_own")),
-    )
-    own = F.array(F.struct(F.col(TILE).alias("_edge"), F.lit(True).alias("_own")))
-    first = (F.col(POS) < lookback) & (F.col("_start") > 0)
-    copies = F.when(first, F.concat(own, later)).otherwise(later)
-    near = tiles.join(edges, TILE).where(first | (F.col(POS) >= F.col("_size") - lookback))
-    apart = near.withColumn("_at", index).select("*", F.inline(copies))
-    whole = inside.where((F.col(POS) >= lookback) | (F.col(TILE) == held[0].number))
-    return whole.select(*[quoted(c) for c in names]).unionByName(
-        framed(apart, "_edge", "_at").where("_own").select(*[quoted(c) for c in names])
+    copies = F.transform(
+        F.filter("_groups", lambda g: index.between(g.lo, g.hi)),
+        lambda g: F.struct(g.edge.alias("_edge"), index.between(g.first, g.last).alias("_own")),
     )
+    near = tiles.join(edges, TILE).withColumn("_at", index)
+    apart = near.select("*", F.inline(copies))
+    whole = inside.join(edges, TILE).where(index.between(F.col("_first"), F.col("_last")))
+    return whole.select(*names).unionByName(framed(apart, "_edge", "_at").where("_own").select(*names))
+
 
+EDGES = (
+    f"{TILE} long, _start long, _first long, _last long,"
+    " _groups array<struct<edge: long, first: long, last: long, lo: long, hi: long>>"
+)
 
-EDGES = f"{TILE} long, _start long, _size long, _later array<struct<tile: long, start: long>>"
 
+def _edges(tiles: Sequence[Tile], back: int, ahead: int) -> list[tuple]:
+    """Each tile with the rows that find their frames in it, and the groups at edges its rows take part in.
 
-def _edges(tiles: Sequence[Tile], lookback: int) -> list[tuple]:
-    """Each tile with the later tiles whose first rows look back into it."""
-    out = []
+    A group works on the rows ``first`` to ``last`` at the front or the end of a tile
+    and needs the rows ``lo`` to ``hi``, which may lie in several tiles where tiles are short.
+    """
+    total = tiles[-1].start + tiles[-1].size
+    spans, groups = [], []
     for i, tile in enumerate(tiles):
-        later = []
-        for other in tiles[i + 1 :]:
-            if other.start - lookback >= tile.start + tile.size:
+        end = tile.start + tile.size
+        first = min(tile.start + back, end) if i else tile.start
+        last = max(end - ahead, first) if end < total else end
+        spans.append((first, last - 1))
+        for side, (a, b) in enumerate(((tile.start, first), (last, end))):
+            if a < b:
+                groups.append((2 * i + side, a, b - 1, max(0, a - back), b - 1 + ahead))
+    # Groups and tiles are both in order; a tile's groups follow each other.
+    out, begin = [], 0
+    for tile, (first, last) in zip(tiles, spans, strict=True):
+        end = tile.start + tile.size
+        while begin < len(groups) and groups[begin][4] < tile.start:
+            begin += 1
+        met = []
+        for group in groups[begin:]:
+            if group[3] >= end:
                 break
-            later.append((other.number, other.start))
-        out.append((tile.number, tile.start, tile.size, later))
+            if group[4] >= tile.start:
+                met.append(group)
+        out.append((tile.number, tile.start, first, last, met))
     return out
 
 
