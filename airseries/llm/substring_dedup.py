@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airseries.llm.automaton import SuffixAutomaton
-from airseries.llm.common import id_of, lean, text_key
+from airseries.llm.chunks import in_chunks
+from airseries.llm.common import id_of, lean
 from airseries.llm.lm_score import pack_keys, part_words, parts_of, unpack_keys, word_keys
 
 #: Words of the k-grams of which the smallest hash is a window's anchor.
@@ -234,13 +235,13 @@ def _schema(*fields: tuple[str, pa.DataType]) -> pa.Schema:
     return pa.schema(list(fields))
 
 
-INT, BLOB = pa.int32(), pa.binary()
-ASK = _schema(("route", INT), ("chunk", INT), ("keys", BLOB), ("twice", BLOB))
-ANSWER = _schema(("chunk", INT), ("keys", BLOB))
+INT, LONG, BLOB = pa.int32(), pa.int64(), pa.binary()
+ASK = _schema(("route", INT), ("chunk", LONG), ("keys", BLOB), ("twice", BLOB))
+ANSWER = _schema(("chunk", LONG), ("keys", BLOB))
 SEGMENT = _schema(
-    ("shard", INT), ("chunk", INT), ("words", BLOB), ("sizes", BLOB), ("numbers", BLOB), ("places", BLOB), ("ids", BLOB)
+    ("shard", INT), ("chunk", LONG), ("words", BLOB), ("sizes", BLOB), ("numbers", BLOB), ("places", BLOB), ("ids", BLOB)
 )
-COVERED = _schema(("chunk", INT), ("spans", BLOB))
+COVERED = _schema(("chunk", LONG), ("spans", BLOB))
 CUT = _schema(
     ("id", pa.int64()),
     ("n_words", pa.int64()),
@@ -249,10 +250,10 @@ CUT = _schema(
     ("removed_spans", pa.list_(pa.list_(INT))),
 )
 DDL = {
-    "ask": "route int, chunk int, keys binary, twice binary",
-    "answer": "chunk int, keys binary",
-    "segment": "shard int, chunk int, words binary, sizes binary, numbers binary, places binary, ids binary",
-    "covered": "chunk int, spans binary",
+    "ask": "route int, chunk long, keys binary, twice binary",
+    "answer": "chunk long, keys binary",
+    "segment": "shard int, chunk long, words binary, sizes binary, numbers binary, places binary, ids binary",
+    "covered": "chunk long, spans binary",
     "cut": "id long, n_words long, n_removed long, kept_text binary, removed_spans array<array<int>>",
 }
 
@@ -267,7 +268,8 @@ def dedup_passages(
 ) -> DataFrame:
     """Remove every word inside a window of words that a document with a smaller id also has.
 
-    Documents go to chunks of about ``chunk_bytes`` by hash. Each window has an anchor, the
+    Documents that follow each other share a chunk of at most ``chunk_bytes`` (or one longer text), whatever
+    their ids and texts are. Each window has an anchor, the
     smallest hash of its k-grams. A chunk asks which of its anchors occur in two documents; only
     runs of windows with such anchors go on, each distinct run once per chunk, to the
     reference shard of their anchor. There they stream through the shard's suffix automaton in
@@ -287,12 +289,8 @@ def dedup_passages(
     chunks = total // chunk_bytes + 1
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     routes, shards = max(least, 2 * chunks), max(least, total // shard_bytes + 1)
-    # One shuffle of the texts serves all three passes over them.
-    placed = docs.select(
-        id_of(id_col).alias("id"),
-        F.encode(F.col(text_col), "UTF-8").alias("text"),
-        F.pmod(F.xxhash64(F.col(id_col), text_key(text_col)), F.lit(chunks)).cast("int").alias("chunk"),
-    ).repartition("chunk")
+    # Written once; all three passes over the texts read the chunks where they lie.
+    placed = in_chunks(docs, chunk_bytes, id=id_of(id_col), text=F.encode(F.col(text_col), "UTF-8"))
     asks = placed.groupBy("chunk").applyInArrow(lean(lambda t: ask(t, window, ANCHOR, routes)), DDL["ask"])
     answers = asks.groupBy("route").applyInArrow(lean(answer), DDL["answer"])
     runs = (
