@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airseries.operators.asof import asof_join
-from airseries.operators.intervals import interval_join
+from airseries.operators.intervals import interval_join, interval_totals
 from airseries.operators.sessions import sessions, with_sessions
 
 T0 = datetime.datetime(2024, 1, 1)
@@ -183,6 +183,46 @@ def test_a_hot_cell_makes_no_needless_pairs(spark):
     assert joins and max(joins) == 0
 
 
+@pytest.mark.parametrize("by", [(), ("station",)])
+@pytest.mark.parametrize("closed", ["left", "both"])
+def test_interval_totals(spark, by, closed):
+    points, spans = readings(120, 7), episodes(8)
+    points.append((8000, 0, T0 + datetime.timedelta(seconds=36000.5), 0.0))
+    held = spark.createDataFrame(spans, "id long, station long, lo timestamp_ntz, hi timestamp_ntz").repartition(3)
+    want = {p[0]: [] for p in points}
+    for point, span in brute_intervals(points, spans, bool(by), closed):
+        want[point].append(span)
+    totals = {"n": ("count", "id"), "least": ("min", "id"), "most": ("max", "id"), "all": ("sum", "id")}
+    got = interval_totals(frame(spark, points), held, "ts", "lo", "hi", totals, by, closed)
+    assert {r.id: (r.n, r.least, r.most, r["all"]) for r in got.collect()} == {
+        i: (len(x), min(x), max(x), sum(x)) if x else (0, None, None, None) for i, x in want.items()
+    }
+    assert got.count() == len(points)
+
+
+def test_interval_totals_make_no_pairs(spark):
+    """2,000 intervals hold each of 2,000 points: four million pairs, of which the totals make none."""
+    points = spark.createDataFrame([(i, at(600 + i)) for i in range(2000)], "id long, ts timestamp_ntz")
+    spans = [(i, at(i % 600), at(3000 + i % 7)) for i in range(2000)]
+    held = spark.createDataFrame(spans, "id long, lo timestamp_ntz, hi timestamp_ntz")
+    got = interval_totals(points, held, "ts", "lo", "hi", {"n": ("count", "id")})
+    assert got.where("n <> 2000").count() == 0
+    got.collect()
+    joins = _rows_of(got, "Join")
+    assert joins and max(joins) <= 2000 * 22
+
+
+def test_episode_overlap_makes_no_pairs(spark):
+    from airseries.checks.joins import episode_overlap
+
+    got = episode_overlap(spark, "/root/testdata/sf0.01")
+    got.collect()
+    joins = _rows_of(got, "Join")
+    # 10,000 readings look into at most 22 cells each; they lie in about two hundred thousand and more episodes.
+    assert joins and max(joins) <= 22 * 10_000
+    assert got.agg(F.sum("episodes")).first()[0] > 0
+
+
 def _rows_of(df, kind):
     """Output rows of the operators whose name holds ``kind``, in the plan that ran."""
     out, todo = [], [df._jdf.queryExecution().executedPlan()]
