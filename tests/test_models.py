@@ -258,3 +258,29 @@ def test_coarse_labels(spark):
     df = spark.createDataFrame([(35.4,), (55.4,), (55.5,)], "pm2_5 double")
     got = [(r.air_quality_category, r.label) for r in coarse_labels(df).collect()]
     assert got == [("Good", 0.0), ("Moderate", 1.0), ("Unhealthy", 2.0)]
+
+
+def test_training_rows_are_dealt_out_evenly(spark):
+    """Rows in order of time, split by time: each task of a fit gets its share of the training rows."""
+    from airseries.session import stage, stage_even
+
+    df = spark.range(0, 8000, 1, 8).withColumn("split", F.when(F.col("id") < 4000, "train").otherwise("test"))
+
+    def sizes(staged):
+        return staged.filter("split = 'train'").groupBy(F.input_file_name()).count().select("count").collect()
+
+    cores = spark.sparkContext.defaultParallelism
+    assert len(sizes(stage(df, "in_order"))) < cores
+    even = [r[0] for r in sizes(stage_even(df, "even"))]
+    assert len(even) % cores == 0 and max(even) <= 1.1 * min(even)
+
+
+def test_kept_node_ids_give_the_same_forest(spark, monkeypatch):
+    df = spark.range(600).select(F.col("id").cast("double").alias("x"), (F.col("id") * 7 % 11).cast("double").alias("y"))
+    data = encode.assemble(df.withColumn("split", F.lit("train")), ["x"])
+    seen = []
+    for limit in (0, 1 << 30):
+        monkeypatch.setattr(models, "NODE_ID_BYTES", limit)
+        model, _ = models.fit_on_train(models.forest_regressor("y", numTrees=4, maxDepth=4), data)
+        seen.append((model.getOrDefault("cacheNodeIds"), model.toDebugString.split("\n", 1)[1]))
+    assert [s[0] for s in seen] == [False, True] and seen[0][1] == seen[1][1]
