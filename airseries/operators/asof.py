@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from airseries.functions.times import time_number, time_unit
 from airseries.operators.columns import quoted
-from airseries.operators.ordering import POS, ROWS_PER_TILE, TILE, sorted_tiles
+from airseries.operators.ordering import PART, POS, ROWS_PER_TILE, TILE, sorted_tiles
 
 
 def asof_join(
@@ -122,7 +122,7 @@ def _with_nearest(rows: DataFrame, way: str, rivals: bool) -> DataFrame:
         return F.last(c, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, upto))
 
     names = rows.columns
-    inside = Window.partitionBy(TILE, "_by").orderBy(*going(POS))
+    inside = Window.partitionBy(PART, TILE, "_by").orderBy(*going(POS))
     own, r1, r2 = F.col("_right"), F.col("_r1"), F.col("_r2")
     rows = rows.withColumn("_r1", last(own, inside, 0))
     if rivals:
@@ -136,7 +136,7 @@ def _with_nearest(rows: DataFrame, way: str, rivals: bool) -> DataFrame:
     state = F.struct(F.col("_by").alias("by"), r1.alias("r1"), r2.alias("r2"))
     end = (F.max_by if way == "backward" else F.min_by)(state, F.when(own.isNotNull(), F.col(POS)))
     along = Window.orderBy(*going(TILE))
-    tiles = rows.groupBy(TILE).agg(end.alias("_s")).withColumn("_p", last("_s", along, -1))
+    tiles = rows.groupBy(PART, TILE).agg(end.alias("_s")).withColumn("_p", last("_s", along, -1))
     s, p = F.col("_s"), F.col("_p")
     nothing = F.struct(F.when(F.lit(False), s.r1).alias("x"))
     turn = (
@@ -155,5 +155,5 @@ def _with_nearest(rows: DataFrame, way: str, rivals: bool) -> DataFrame:
         second = F.when(same, F.when(r1.isNotNull() & _differ(c1, r1), c1).otherwise(c2))
         other = F.coalesce(r2, second)
         found = F.when(found.isNotNull() & ~found.rival.eqNullSafe(F.col("_rival")), found).otherwise(other)
-    # One row per sort partition.
+    # One row per tile.
     return rows.join(F.broadcast(carried), TILE).select(*names, found.alias(way))

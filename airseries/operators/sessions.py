@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airseries.functions.times import time_number, time_unit
 from airseries.operators.columns import quoted
-from airseries.operators.ordering import POS, ROWS_PER_TILE, TILE, running_start, sorted_tiles
+from airseries.operators.ordering import PART, POS, ROWS_PER_TILE, TILE, running_start, sorted_tiles
 
 
 def with_sessions(
@@ -37,18 +37,18 @@ def with_sessions(
     rows = df.select(key.alias("_by"), at.alias("_at"), F.col(quoted(row_id)).alias("_id"), own.alias("_row"))
     tiles = sorted_tiles(rows.where("_at IS NOT NULL"), ["_by", "_at", "_id"], rows_per_tile)
     place = F.struct(F.col("_by").alias("by"), F.col("_at").alias("at"))
-    inside = Window.partitionBy(TILE).orderBy(POS)
+    inside = Window.partitionBy(PART, TILE).orderBy(POS)
     along = Window.orderBy(TILE)
     marked = tiles.withColumn("_before", F.lag(place, 1).over(inside))
-    # One row per sort partition.
-    last = tiles.groupBy(TILE).agg(F.max_by(place, POS).alias("_last"))
+    # One row per tile.
+    last = tiles.groupBy(PART, TILE).agg(F.max_by(place, POS).alias("_last"))
     carried = F.broadcast(last.select(TILE, F.lag("_last", 1).over(along).alias("_carried")))
     before = F.coalesce("_before", "_carried")
     starts = _starts(F.col("_by"), F.col("_at"), before, gap * time_unit(df, ts))
-    marked = marked.join(carried, TILE).select(TILE, POS, "_row", starts.cast("long").alias("_starts"))
+    marked = marked.join(carried, TILE).select(PART, TILE, POS, "_row", starts.cast("long").alias("_starts"))
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     counted = marked.withColumn("_count", F.sum("_starts").over(upto))
-    totals = running_start(marked.groupBy(TILE).agg(F.sum("_starts").alias("_starts")), "_starts")
+    totals = running_start(marked.groupBy(PART, TILE).agg(F.sum("_starts").alias("_starts")), "_starts")
     numbered = counted.join(F.broadcast(totals.select(TILE, "_starts_start")), TILE)
     number = F.col("_count") + F.col("_starts_start") - 1
     without = rows.where("_at IS NULL").select("_row", F.lit(None).cast("long").alias("_number"))

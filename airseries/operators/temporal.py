@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from airseries.operators.columns import quoted
 from airseries.operators.ordering import (
+    PART,
     POS,
     ROWS_PER_TILE,
     TILE,
@@ -89,16 +90,16 @@ def with_row_frames(
     ahead = max(f.lookahead for f in frames.values())
     tiles = sorted_tiles(df, [*by, *order], rows_per_tile)
 
-    def framed(rows: DataFrame, part: str, at: str) -> DataFrame:
-        window = Window.partitionBy(part, *keys).orderBy(at)
+    def framed(rows: DataFrame, stretch: Sequence[str], at: str) -> DataFrame:
+        window = Window.partitionBy(*stretch, *keys).orderBy(at)
         return rows.withColumns({name: f.build(window) for name, f in frames.items()})
 
     names = [quoted(c) for c in [*df.columns, *frames]]
-    inside = framed(tiles, TILE, POS)
-    held = tile_list(tiles)
+    inside = framed(tiles, [PART, TILE], POS)
+    held = tile_list(tiles, rows_per_tile)
     if back == ahead == 0 or len(held) < 2:
         return inside.select(*names)
-    # One row per sort partition.
+    # One row per tile.
     edges = F.broadcast(tiles.sparkSession.createDataFrame(_edges(held, back, ahead), EDGES))
     index = F.col("_start") + F.col(POS)
     copies = F.transform(
@@ -108,7 +109,7 @@ def with_row_frames(
     near = tiles.join(edges, TILE).withColumn("_at", index)
     apart = near.select("*", F.inline(copies))
     whole = inside.join(edges, TILE).where(index.between(F.col("_first"), F.col("_last")))
-    return whole.select(*names).unionByName(framed(apart, "_edge", "_at").where("_own").select(*names))
+    return whole.select(*names).unionByName(framed(apart, ["_edge"], "_at").where("_own").select(*names))
 
 
 EDGES = (
@@ -221,11 +222,11 @@ def range_mean(
     tiles = sorted_tiles(df.select(*cols, F.inline(records)), [*by, "_at", "_kind", row_id], staged=True)
     # Differences are taken within one series only, so the running sums may go
     # on from one series to the next; each window below holds one tile.
-    sums = tiles.groupBy(TILE).agg(*[F.sum(m).alias(m) for m in measures])
+    sums = tiles.groupBy(PART, TILE).agg(*[F.sum(m).alias(m) for m in measures])
     totals = running_start(sums, *measures)
-    # One row per sort partition.
+    # One row per tile.
     starts = F.broadcast(totals.select(TILE, *[f"{m}_start" for m in measures]))
-    inside = Window.partitionBy(TILE).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(PART, TILE).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     summed = tiles.withColumns({f"{m}_run": F.sum(m).over(inside) for m in measures}).join(starts, TILE)
 
     def within(measure: str) -> Column:

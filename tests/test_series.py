@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from airseries.operators import sampling
-from airseries.operators.ordering import tile_count, with_row_index
+from airseries.operators.ordering import PART, TILE, sorted_tiles, tile_count, tile_list, with_row_index
 from airseries.operators.temporal import (
     RowFrame,
     difference,
@@ -87,6 +87,16 @@ def test_tiles_follow_the_rows():
     assert tile_count(0, 8) == 8 and tile_count(10**6, 8, 10**5) == 10 and tile_count(1001, 1, 1000) == 2
 
 
+def test_small_tiles_share_sort_partitions(spark):
+    """Many small tiles cost no task each: there are no more sort partitions than shuffle partitions."""
+    df = series(spark, 400)
+    tiles = sorted_tiles(df, ["ts", "id"], 3)
+    found = sorted((r[0], r[1]) for r in tiles.groupBy(TILE).count().collect())
+    assert tiles.select(PART).distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(found) >= 400 / 3 and max(n for _, n in found) <= 3
+    assert [(t.number, t.size) for t in tile_list(tiles, 3)] == found
+
+
 def test_no_single_partition(spark):
     df = series(spark, 300)
     got = with_row_frames(df, FRAMES, ["ts", "id"])
