@@ -1,4 +1,4 @@
-"""Near copies by exact Jaccard similarity of word shingles; MinHash finds the pairs to look at."""
+"""Near copies by exact Jaccard similarity of word shingles; SimHash and MinHash find the pairs to look at."""
 
 from __future__ import annotations
 
@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airseries.llm.common import as_bytes, id_of, map_rows, release_memory, text_key
-from airseries.llm.simhash import components
+from airseries.llm.simhash import components, covering_masks, vote
 from airseries.session import stage
 
 #: At Jaccard 0.8 a pair shares no bucket with probability (1 - 0.8 ** 5) ** 25 = 0.00005.
 BANDS, ROWS = 25, 5
+#: Fingerprints that differ in so many bits share a bucket of one of the masks for sure.
+RADIUS = 4
+MASKS = np.array(covering_masks(RADIUS), np.uint64)
 #: Shingle hashes that a block of a crowded bucket holds on average (8 bytes each).
 BLOCK_HASHES = 1 << 20
 #: Numbers of an overlap matrix that are added up at a time.
@@ -35,8 +38,8 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def shingles(words: list[bytes], shingle: int = 5, seed: int = 42) -> np.ndarray:
-    """Distinct hashes of all runs of ``shingle`` words; fewer words are one run, no words none."""
+def run_hashes(words: list[bytes], shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """Hashes of all runs of ``shingle`` words, repeats included; fewer words are one run, no words none."""
     if not words:
         return np.zeros(0, np.uint64)
     joined = b" ".join(words)
@@ -45,7 +48,12 @@ def shingles(words: list[bytes], shingle: int = 5, seed: int = 42) -> np.ndarray
     begins = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_intdigest
     runs = zip(begins[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
-    return np.unique(np.array([digest(joined[a:b], seed) for a, b in runs], np.uint64))
+    return np.array([digest(joined[a:b], seed) for a, b in runs], np.uint64)
+
+
+def shingles(words: list[bytes], shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """Distinct hashes of all runs of ``shingle`` words."""
+    return np.unique(run_hashes(words, shingle, seed))
 
 
 def min_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -64,6 +72,11 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def print_keys(fingerprint: int) -> np.ndarray:
+    """The bits of a SimHash fingerprint that each of the covering masks keeps."""
+    return (np.uint64(fingerprint) & MASKS).view(np.int64)
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -75,10 +88,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
         out = {"node": [], "size": [], "bands": []}
         for text in as_bytes(batch.column(2)).to_pylist():
             words = words_of(text)
-            hashes = shingles(words, shingle)
+            every = run_hashes(words, shingle)
+            hashes = np.unique(every)
             out["node"].append(_signed(xxhash.xxh64_intdigest(b" ".join(words))))
             out["size"].append(len(hashes))
-            out["bands"].append(band_keys(min_hashes(hashes)) if words else [])
+            keys = [band_keys(min_hashes(hashes)), print_keys(vote(every))] if words else [[]]
+            out["bands"].append(np.concatenate(keys))
         release_memory()
         return out
 
@@ -314,8 +329,9 @@ def near_copies(
 
     Texts (A-Z in lower case, words only) are linked if their sets of ``shingle`` words have a Jaccard
     similarity of ``least`` or more; a component is what links reach. Texts of the same words are one
-    node. Candidates share one of BANDS buckets of ROWS MinHashes each, and every link is confirmed by the
-    whole sets of hashes. A bucket is first compared with one of its nodes; buckets that then still
+    node. Candidates share the bits of their SimHash fingerprints under one of the covering masks, as all within RADIUS
+    bits do, or one of BANDS buckets of ROWS MinHashes each, as fingerprints of texts near ``least`` are further
+    apart. Every link is confirmed by the whole sets of hashes. A bucket is first compared with one of its nodes; buckets that then still
     hold several components are compared in blocks of about ``block`` nodes, which
     give only the links that join components.
 

@@ -35,6 +35,11 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
         ],
         "<u8",
     )
+    return vote(hashes)
+
+
+def vote(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes: a bit is 1 if over half of them have it."""
     votes = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 8192):
         part = np.unpackbits(hashes[at : at + 8192].view(np.uint8), bitorder="little").reshape(-1, BITS)

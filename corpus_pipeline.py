@@ -53,7 +53,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies (five words, Jaccard 0.8 or more) stays, that with the smallest id.
 
-    Candidates come from MinHash bands: fingerprints of 64 bits are too far apart at this similarity. Of
+    Candidates come from SimHash fingerprints under covering masks and from MinHash bands: at this similarity most
+    fingerprints of 64 bits are too far apart to meet by themselves. Every link is confirmed by the exact similarity. Of
     equal ids the smaller text hash decides; of rows equal in id and text that
     with the smallest hash of the other columns (all but maps) stays.
     """

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from airseries.llm import near_copies
+from airseries.llm import near_copies, simhash
 
 
 def shingle_set(text):
@@ -79,6 +79,18 @@ def test_share_of_pairs_that_meet():
     assert sum(bool(np.any(a == b)) for a, b in keys) >= len(pairs) - 3
 
 
+def test_simhash_finds_copies_by_itself(spark, monkeypatch):
+    """Without MinHash bands: all copies within 4 bits go, and no others but those that share a mask's bits."""
+    pairs = planted(300, 11)
+    rows = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
+    prints = [[simhash.fingerprint(t.encode(), 5) for t in p] for p in pairs]
+    near = {2 * i + 1 for i, (a, b) in enumerate(prints) if (a ^ b).bit_count() <= 4}
+    met = {2 * i + 1 for i, (a, b) in enumerate(prints) if any(a & m == b & m for m in simhash.covering_masks(4))}
+    assert near <= met and len(near) > 20 and len(met) < len(pairs)
+    monkeypatch.setattr(near_copies, "band_keys", lambda least: np.zeros(0, np.int64))
+    assert sorted(d for d, _ in kept_rows(spark, rows)) == [d for d, _ in rows if d not in met]
+
+
 def components(rows):
     """Smallest id of each component by exact Jaccard over all pairs."""
     root = list(range(len(rows)))
