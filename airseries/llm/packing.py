@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airseries.llm.common import as_bytes
+from airseries.llm.common import as_bytes, release_memory
 from airseries.llm.tokens import VOCABULARY, encode_texts
 
 PIECES = (
@@ -158,6 +158,9 @@ def pack(
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
             )
+            # Nothing of a batch is held while the next one comes in or the worker waits for its next task.
+            del batch, texts, owners, ids, rows, parts, columns
+            release_memory()
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) as id", f"`{text_col}` as text")
     held = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
