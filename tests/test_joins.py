@@ -279,3 +279,15 @@ def test_session_table(spark):
 def test_no_sessions(spark):
     assert with_sessions(frame(spark, []), "ts", "id", 5).count() == 0
     assert [r.session for r in with_sessions(frame(spark, MISSING[:1]), "ts", "id", 5).collect()] == [None]
+
+
+def test_readings_look_into_few_cells(spark, monkeypatch):
+    """Each level of cells is a row more for every reading; a month needs fewer of hours than of seconds (nine)."""
+    from airseries.checks import joins
+    from airseries.operators import intervals
+
+    levels = []
+    cells = intervals._cells_of_level
+    monkeypatch.setattr(intervals, "_cells_of_level", lambda k, top: levels.append(k) or cells(k, top))
+    joins.readings_in_episodes(spark, "/root/testdata/sf0.01")
+    assert 0 < len(levels) <= 6
