@@ -110,6 +110,9 @@ def near_links(prints: DataFrame, radius: int = 4, block: int = 2048) -> DataFra
     a bucket of more is cut by hash, and each pair of its blocks is a group of its own, so
     that no task gets a whole hot bucket. Each group emits a spanning forest of its
     links, never all pairs: components stay the same.
+
+    Spark sizes the exploded buckets as if each print had one, so it would broadcast all of them
+    below about a million prints; the hint makes both sides meet by shuffle at any size.
     """
     masks = covering_masks(radius)
     mask_column = F.array(*[F.lit(_signed(m)) for m in masks])
@@ -124,7 +127,7 @@ def near_links(prints: DataFrame, radius: int = 4, block: int = 2048) -> DataFra
     )
     own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")
     grouped = (
-        buckets.join(crowded, ["mask", "key"])
+        buckets.join(crowded.hint("merge"), ["mask", "key"])
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(

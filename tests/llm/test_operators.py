@@ -520,6 +520,14 @@ def test_links_reach_all_within_the_radius(spark, block):
     assert got == want
 
 
+def test_buckets_are_not_broadcast(spark, tmp_path):
+    # Spark sizes the buckets like the prints they come from, 31 times too low.
+    spark.range(1000).selectExpr("xxhash64(id) AS print").write.parquet(str(tmp_path / "prints"))
+    links = simhash.near_links(spark.read.parquet(str(tmp_path / "prints")))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_near_duplicates_of_documents(spark):
     docs = documents(spark)
     prints = [(d, brute.simhash(t)) for d, t in docs]
