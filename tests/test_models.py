@@ -284,3 +284,33 @@ def test_kept_node_ids_give_the_same_forest(spark, monkeypatch):
         model, _ = models.fit_on_train(models.forest_regressor("y", numTrees=4, maxDepth=4), data)
         seen.append((model.getOrDefault("cacheNodeIds"), model.toDebugString.split("\n", 1)[1]))
     assert [s[0] for s in seen] == [False, True] and seen[0][1] == seen[1][1]
+
+
+def test_the_bound_of_node_ids_follows_the_cores(spark, monkeypatch):
+    df = spark.range(600).select(F.col("id").cast("double").alias("x"), (F.col("id") * 7 % 11).cast("double").alias("y"))
+    data = encode.assemble(df.withColumn("split", F.lit("train")), ["x"])
+    ids = 600 * 4 * 2 * 4
+    monkeypatch.setattr(models, "NODE_ID_BYTES", ids // spark.sparkContext.defaultParallelism)
+    model, _ = models.fit_on_train(models.forest_regressor("y", numTrees=4, maxDepth=4), data)
+    assert model.getOrDefault("cacheNodeIds")
+
+
+def test_scans_of_evenly_dealt_rows_have_full_rounds(spark):
+    """Files that Spark packs into 9 tasks on 8 cores would leave 7 of them idle in the second round."""
+    from airseries.session import scan_tasks, stage, stage_even
+
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 96_000, 1, 8).selectExpr("id", "hex(xxhash64(id)) AS a", "hex(xxhash64(id, 1)) AS b")
+    settings = {"spark.sql.shuffle.partitions": 6 * cores, "spark.sql.files.maxPartitionBytes": "400k", "spark.sql.files.openCostInBytes": "8k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        packed = stage(df.repartition(6 * cores), "packed")
+        even = stage_even(df, "even")
+        assert scan_tasks(packed) % cores, scan_tasks(packed)
+        assert scan_tasks(even) % cores == 0
+        assert even.count() == 96_000 and even.selectExpr("sum(id)").first()[0] == df.selectExpr("sum(id)").first()[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
